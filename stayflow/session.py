@@ -32,6 +32,7 @@ def get_session(master: str | None = None, app_name: str = "stayflow",
         builder = builder.master(master)
     conf = dict(_REQUIRED)
     conf["spark.ui.enabled"] = "false"
+    conf["spark.ui.showConsoleProgress"] = "false"
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})

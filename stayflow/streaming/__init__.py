@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+Every extract the library reproduces is a one-shot batch over a snapshot of the
+source tables; there is no watermark, event-time window or state to carry between
+micro-batches. The stay reconstruction is a batch sessionisation (see
+``stayflow.operators.stays``). Run the plans on a schedule over fresh snapshots.
+"""
