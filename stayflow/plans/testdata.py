@@ -305,3 +305,12 @@ ORACLE = {
     "measure_extract": SQL_MEASURE_EXTRACT,
     "within_stay_counts": SQL_WITHIN_STAY_COUNTS,
 }
+
+
+def _merge_registries() -> None:
+    from stayflow.plans import testdata_orders
+    QUERIES.update(testdata_orders.QUERIES)
+    ORACLE.update(testdata_orders.ORACLE)
+
+
+_merge_registries()
