@@ -59,16 +59,22 @@ def unmatched_ids(principal_ids: DataFrame, matches: DataFrame) -> DataFrame:
 
 def coverage_summary(meds: DataFrame, matches: DataFrame) -> DataFrame:
     """(DESCRIP, CNT) rows: unique principal ids, unique unmatched ids, all
-    administrations, administrations of unmatched ids (a NULL id is not one)."""
-    ids = meds.select("medID").distinct()
-    unmatched = unmatched_ids(ids, matches)
-
-    def metric(label: str, df: DataFrame) -> DataFrame:
-        return df.agg(F.count(F.lit(1)).alias("CNT")).select(
-            F.lit(label).alias("DESCRIP"), "CNT")
-
-    return (metric("All Unique Principle Med IDs", ids)
-            .unionByName(metric("Unique Unmatched Principle Med IDs", unmatched))
-            .unionByName(metric("All Med Admins", meds))
-            .unionByName(metric("Unmatched Med Admins",
-                                meds.join(unmatched, "medID", "left_semi"))))
+    administrations, administrations of unmatched ids (a NULL id is never one).
+
+    One pass over the administrations: they are first reduced to one row per id
+    with its administration count (map-side combined, so a hot id costs nothing
+    extra), then flagged against the matched ids (catalog-sized) and summed.
+    """
+    per_id = meds.groupBy("medID").agg(F.count(F.lit(1)).alias("__n"))
+    matched = matches.select(F.col("ORIG_MED_ID").alias("__mid")).distinct()
+    flagged = per_id.join(matched, F.col("medID") == F.col("__mid"), "left")
+    unmatched = F.col("__mid").isNull()
+    counts = flagged.agg(
+        F.count(F.lit(1)).alias("a"),
+        F.count(F.when(unmatched, F.lit(1))).alias("b"),
+        F.sum("__n").alias("c"),
+        F.coalesce(F.sum(F.when(unmatched & F.col("medID").isNotNull(), F.col("__n"))),
+                   F.lit(0)).alias("d"))
+    return counts.select(F.expr(
+        "stack(4, 'All Unique Principle Med IDs', a, 'Unique Unmatched Principle Med IDs', b, "
+        "'All Med Admins', c, 'Unmatched Med Admins', d) AS (DESCRIP, CNT)"))

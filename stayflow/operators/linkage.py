@@ -63,7 +63,9 @@ def best_code(codes: DataFrame, key: str, rank: str, code: str, eligible: Column
     joined back on (key, rank); a NULL maximum never matches.
     """
     best = (codes.filter(eligible).groupBy(key)
-            .agg(F.max(rank).alias("__best_rank")))
-    picked = codes.join(best, (codes[key] == best[key]) & (codes[rank] == best["__best_rank"]),
-                        "inner").select(codes[key].alias(key), codes[code].alias("__code"))
-    return picked.groupBy(key).agg(F.max("__code").alias(code))
+            .agg(F.max(rank).alias("__best_rank"))
+            .withColumnRenamed(key, "__best_key"))
+    picked = codes.select(key, rank, code).join(
+        best, (F.col(key) == F.col("__best_key")) & (F.col(rank) == F.col("__best_rank")),
+        "inner")
+    return picked.groupBy(key).agg(F.max(code).alias(code))

@@ -1,4 +1,6 @@
-"""The reference's operators exercised on the driver's TPC-H-like tables.
+"""Event-log queries: the stay builder and the extracts that read stays.
+
+The reference's operators exercised on the driver's TPC-H-like tables.
 
 Each entry of ``QUERIES`` reads whole tables from ``sf_dir`` and runs one of the
 library's operators (or an extract) over data Spark derives from them; ``ORACLE``
@@ -27,50 +29,9 @@ from stayflow.operators.joins import (
     classify, exclude, lookup, restrict_to, within_interval, within_unit_window)
 from stayflow.sources.config import MeasureId, UnitWindow, ids_frame, units_frame
 
-# ---------------------------------------------------------------------------
-# Configuration used by the queries (fixed values, like the reference's
-# DECLARE blocks).
-EVENT_UNITS = (
-    UnitWindow("ICU_A", "view", date(2024, 1, 1), date(2024, 1, 20)),
-    UnitWindow("ICU_B", "click", date(2024, 1, 5), date(2024, 2, 1)),
-    UnitWindow("PERIOP", "error", date(2024, 1, 1), date(2024, 2, 1)),
-)
-EVENT_WINDOW = (datetime(2024, 1, 3), datetime(2024, 1, 28))
-EVENT_MEASURES = (MeasureId("click", "CLICKS"), MeasureId("error", "ERRORS"))
-
-ORDER_UNITS = (
-    UnitWindow("PCICU", "1-URGENT", date(1995, 6, 1), date(1998, 1, 1)),
-    UnitWindow("NICU", "2-HIGH", date(1996, 1, 1), date(2001, 1, 1)),
-    UnitWindow("PERIOP", "3-MEDIUM", date(1995, 1, 1), date(2002, 1, 1)),
-)
-ORDER_WINDOW = (datetime(1995, 3, 1), datetime(2000, 12, 31))
-
-SEGMENT_UNITS = (
-    UnitWindow("PICU", "HOUSEHOLD", date(2000, 1, 1), date(2030, 1, 1)),
-    UnitWindow("CICU", "MACHINERY", date(2000, 1, 1), date(2030, 1, 1)),
-    UnitWindow("PERIOP", "FURNITURE", date(2000, 1, 1), date(2030, 1, 1)),
-    UnitWindow("NICU", "HOUSEHOLD", date(2000, 1, 1), date(2030, 1, 1)),
-)
-
-ORDER = ["effective_time", "event_dir", "event_id"]
-KEY = "enc_id"
-
-
-def _read(spark: SparkSession, d: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{d}/{name}.parquet")
-
-
-# ---------------------------------------------------------------------------
-# SQL helpers for the oracle side
-def _units_sql(units) -> str:
-    rows = ", ".join(f"('{u.group}', '{u.dept_id}', DATE '{u.open_date}', DATE '{u.close_date}')"
-                     for u in units)
-    return (f"(SELECT * FROM (VALUES {rows}) AS t(dpt_grp, dpt_id, opendate, closedate))")
-
-
-def _ts(v: datetime) -> str:
-    return f"TIMESTAMP '{v:%Y-%m-%d %H:%M:%S}'"
-
+from stayflow.plans.testdata_common import (  # noqa: F401
+    EVENT_MEASURES, EVENT_UNITS, EVENT_WINDOW, KEY, ORDER, ORDER_UNITS, ORDER_WINDOW,
+    SEGMENT_UNITS, _read, _ts, _units_sql)
 
 _W = f"(PARTITION BY {KEY} ORDER BY effective_time, event_dir, event_id)"
 
@@ -306,11 +267,3 @@ ORACLE = {
     "within_stay_counts": SQL_WITHIN_STAY_COUNTS,
 }
 
-
-def _merge_registries() -> None:
-    from stayflow.plans import testdata_orders
-    QUERIES.update(testdata_orders.QUERIES)
-    ORACLE.update(testdata_orders.ORACLE)
-
-
-_merge_registries()

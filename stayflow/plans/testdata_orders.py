@@ -9,7 +9,7 @@ from stayflow.functions.expr import boundary_diff, day_diff, ntz, typed_null, ye
 from stayflow.operators.joins import (
     classify, exclude, lookup, restrict_to, within_unit_window)
 from stayflow.operators.merge import listagg_sorted, tagged_union
-from stayflow.plans.testdata import (
+from stayflow.plans.testdata_common import (
     ORDER_UNITS, ORDER_WINDOW, SEGMENT_UNITS, _read, _ts, _units_sql)
 from stayflow.sources.config import units_frame
 
