@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from stayflow.plans import testdata, testdata_meds, testdata_orders
+from stayflow.plans import testdata, testdata_departments, testdata_meds, testdata_orders
 
 QUERIES: dict = {}
 ORACLE: dict = {}
-for _mod in (testdata, testdata_orders, testdata_meds):
+for _mod in (testdata, testdata_orders, testdata_meds, testdata_departments):
     QUERIES.update(_mod.QUERIES)
     ORACLE.update(_mod.ORACLE)
