@@ -15,6 +15,9 @@ _REQUIRED = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Plans that reuse cached or materialised intermediates several times can have
+    # very long plan strings; AQE renders them on every stage update.
+    "spark.sql.maxPlanStringLength": "2000000",
 }
 
 
