@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from stayflow.plans import testdata, testdata_departments, testdata_meds, testdata_orders
+from stayflow.plans import (
+    testdata, testdata_clinical, testdata_departments, testdata_meds, testdata_orders)
 
 QUERIES: dict = {}
 ORACLE: dict = {}
-for _mod in (testdata, testdata_orders, testdata_meds, testdata_departments):
+for _mod in (testdata, testdata_orders, testdata_meds, testdata_departments,
+             testdata_clinical):
     QUERIES.update(_mod.QUERIES)
     ORACLE.update(_mod.ORACLE)
