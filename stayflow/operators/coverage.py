@@ -33,21 +33,28 @@ def coverage_waterfall(unique_meds: DataFrame, hierarchy: DataFrame, links: Data
     reached through each related id of the hierarchy. Only rows with a code.
 
     unique_meds: ORIG_MED_ID, CLARITY_NAME (distinct principal ids with names)
+
+    The three fallbacks (ingredient, component, production drug) are one join: the
+    hierarchy's related-id columns are stacked into (medID, kind, related id) rows,
+    joined to the unmatched ids and then to the links, and spread back into their
+    own columns by kind.
     """
     rx = _links(links, nomenclature)
     direct = unique_meds.join(rx, F.col("ORIG_MED_ID") == F.col("__l_medID"), "left")
     unmatched = (direct.filter(F.col("__l_code").isNull())
                  .select("ORIG_MED_ID", "CLARITY_NAME").distinct())
-    parts = [_layout(direct, id_type, None)]
-    for via in VIA:
-        h = hierarchy.filter(F.col(via).isNotNull()).select(
-            F.col("medID").alias("__h_med"), F.col(via).alias(via))
-        step = (unmatched.join(h, F.col("ORIG_MED_ID") == F.col("__h_med"), "inner")
-                .join(rx, F.col(via) == F.col("__l_medID"), "left"))
-        parts.append(_layout(step, id_type, via))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+    related = hierarchy.select(
+        F.col("medID").alias("__h_med"),
+        F.explode(F.array(*[F.struct(F.lit(v).alias("kind"), F.col(v).alias("rel"))
+                            for v in VIA])).alias("__v")
+    ).filter(F.col("__v.rel").isNotNull())
+    via = (unmatched.join(related, F.col("ORIG_MED_ID") == F.col("__h_med"), "inner")
+           .join(rx, F.col("__v.rel") == F.col("__l_medID"), "left"))
+    via = via.select(
+        "ORIG_MED_ID", "CLARITY_NAME",
+        *[F.when(F.col("__v.kind") == v, F.col("__v.rel")).cast(id_type).alias(v) for v in VIA],
+        *[F.col("__l_" + c).alias(c) for c in LINK_COLUMNS])
+    out = _layout(direct, id_type, None).unionByName(via)
     return out.filter(F.col("code").isNotNull())
 
 

@@ -47,6 +47,36 @@ def class_links(ids: DataFrame, master: DataFrame, class_col: str, category: Dat
     return link_rows(j, nomenclature, med=id_col, code=F.col("__iid"), name=F.col("__cname"))
 
 
+def class_links_shared(ids: DataFrame, master: DataFrame,
+                       specs: Sequence[tuple[str, str, DataFrame, str]],
+                       id_col: str = "MEDICATION_ID") -> DataFrame:
+    """Several ``class_links`` branches with ONE join of ids to the medication master.
+
+    ``specs`` are (nomenclature, master class column, category table, category key).
+    The class columns are stacked into (nomenclature, class code) rows and joined to
+    the categories tagged by nomenclature, so the master is scanned and joined once
+    instead of once per class.
+    """
+    m = master.select(F.col("MEDICATION_ID").alias("__mid"),
+                      *[F.col(col).alias(f"__c{i}") for i, (_, col, _, _) in enumerate(specs)])
+    stacked = ids.join(m, F.col(id_col) == F.col("__mid"), "inner").select(
+        F.col(id_col), F.explode(F.array(*[
+            F.struct(F.lit(nom).alias("nom"), F.col(f"__c{i}").alias("cls"))
+            for i, (nom, _, _, _) in enumerate(specs)])).alias("__k"))
+    cats = None
+    for nom, _, category, key in specs:
+        c = category.select(F.lit(nom).alias("__nom"), F.col(key).alias("__cls"),
+                            F.col("INTERNAL_ID").alias("__iid"), F.col("NAME").alias("__cname"))
+        cats = c if cats is None else cats.unionByName(c)
+    j = stacked.join(cats, (F.col("__k.nom") == F.col("__nom"))
+                     & (F.col("__k.cls") == F.col("__cls")), "inner")
+    return j.select(
+        F.col(id_col).cast("bigint").alias("medID"), typed_null("int").alias("line"),
+        F.col("__nom").alias("nomenclature"), F.col("__iid").cast("string").alias("code"),
+        F.col("__cname").cast("string").alias("name"), typed_null("string").alias("rxNormCodeLevel"),
+        typed_null("string").alias("rxNormTermType"))
+
+
 def link_codes(branches: Sequence[DataFrame]) -> DataFrame:
     """UNION ALL of link branches, de-duplicated once."""
     out = branches[0].select(*LINK_COLUMNS)

@@ -18,7 +18,7 @@ from stayflow.operators.coverage import coverage_summary, coverage_waterfall, un
 from stayflow.operators.hierarchy import expand_hierarchy
 from stayflow.operators.joins import lookup, restrict_to
 from stayflow.operators.linkage import (
-    best_code, class_links, link_codes, link_rows, unpivot_ids)
+    best_code, class_links_shared, link_codes, link_rows, unpivot_ids)
 from stayflow.sources.catalog import SourceCatalog
 from stayflow.sources.sinks import materialize
 
@@ -169,8 +169,9 @@ def med_links(src: SourceCatalog, hierarchy: DataFrame) -> DataFrame:
                   level=F.col("__lvl"), term_type=F.col("__tt")),
         link_rows(ndc, "NDC", med="MEDICATION_ID", line=F.col("LINE"),
                   code=F.col("RAW_NDC_CODE"), name=F.col("NDC_CODE")),
-    ] + [class_links(ids, master, col, src.table(cat), key, nom)
-         for nom, col, cat, key in CLASS_LINKS]
+        class_links_shared(ids, master, [(nom, col, src.table(cat), key)
+                                         for nom, col, cat, key in CLASS_LINKS]),
+    ]
     return link_codes(branches)
 
 
