@@ -51,12 +51,12 @@ class SourceCatalog:
         if key in self._tables:
             return self._tables[key]
         if self.parquet_dir:
+            if "://" in self.parquet_dir:   # object store: use the canonical name
+                return self.spark.read.parquet(f"{self.parquet_dir.rstrip('/')}/{key}.parquet")
             for cand in (key, key.lower()):
                 for path in (os.path.join(self.parquet_dir, cand + ".parquet"),
                              os.path.join(self.parquet_dir, cand)):
-                    if os.path.exists(path) or "://" in self.parquet_dir:
-                        if "://" in self.parquet_dir and cand != key:
-                            continue
+                    if os.path.exists(path):
                         return self.spark.read.parquet(path)
         if self.database:
             return self.spark.table(f"{self.database}.{key}")

@@ -20,7 +20,6 @@ CSV_OPTIONS = {
     "header": "true",
     "escape": '"',          # RFC-4180 quoting ("" inside quotes), not backslashes
     "nullValue": "NULL",
-    "emptyValue": "",
     "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss.SSS",
     "timestampFormat": "yyyy-MM-dd HH:mm:ss.SSS",
     "dateFormat": "yyyy-MM-dd",
