@@ -96,12 +96,29 @@ def stay_hours(start: str | Column, end: str | Column) -> Column:
     return hours_from_minutes(boundary_diff("MINUTE", start, end))
 
 
+def _stay_edges(events, key, order, group, direction, time, bridge_groups, outside_groups):
+    s = encounter_bounds(events, key, order, time)
+    s = flag_bridges(s, key, order, group, direction, bridge_groups)
+    s = mark_runs(s, key, order, group)
+    s = mark_edges(s, key, order, group, time, outside_groups)
+    return pair_edges(s, key, order)
+
+
+def hot_keys(events: DataFrame, key: str, threshold: int) -> DataFrame:
+    """Keys with more than ``threshold`` rows (a map-side-combined count). At most
+    rows / threshold keys exist, so the result is small by construction."""
+    return (events.groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
+            .filter(F.col("__n") > threshold).select(key))
+
+
 def build_stays(events: DataFrame, key, order: Sequence[str | Column], group: str,
                 direction: str, time: str,
                 bridge_groups: Sequence[str] = ("PERIOP",),
                 outside_groups: Sequence[str] = ("PERIOP", "OTHER"),
                 min_hours: float | None = 0.5,
-                window: tuple[datetime, datetime] | None = None) -> DataFrame:
+                window: tuple[datetime, datetime] | None = None,
+                hot_threshold: int | None = None, chunk_rows: int = 1_000_000,
+                hot: DataFrame | None = None) -> DataFrame:
     """One row per completed stay (the row holding the stay's first event).
 
     Adds HOSP_ADMIT_DT, HOSP_DC_DT, OUT_PERIOP, SAME_DEPT, VISIT_IN_DT,
@@ -109,12 +126,25 @@ def build_stays(events: DataFrame, key, order: Sequence[str | Column], group: st
     whose first event lies strictly inside ``window`` (if given) and that last at
     least ``min_hours`` (boundary minutes / 60, decimal).
     ``order`` must be a total order within the key for deterministic results.
+
+    Skew: with ``hot_threshold`` (or an explicit ``hot`` key frame), encounters with
+    more rows than the threshold are split into chunks of ~``chunk_rows`` events
+    (``stays_chunked``) instead of being windowed by one task; the others take the
+    single-exchange window plan. The result is the same either way.
     """
-    s = encounter_bounds(events, key, order, time)
-    s = flag_bridges(s, key, order, group, direction, bridge_groups)
-    s = mark_runs(s, key, order, group)
-    s = mark_edges(s, key, order, group, time, outside_groups)
-    s = pair_edges(s, key, order)
+    if hot is None and hot_threshold is not None:
+        hot = hot_keys(events, key, hot_threshold)
+    if hot is not None and not hot.isEmpty():
+        from stayflow.operators.joins import exclude, restrict_to
+        from stayflow.operators.stays_chunked import build_stays_chunked
+        cold = _stay_edges(exclude(events, hot, key), key, order, group, direction, time,
+                           bridge_groups, outside_groups)
+        big = build_stays_chunked(restrict_to(events, hot, key), key, list(order), group,
+                                  direction, time, chunk_rows, bridge_groups, outside_groups)
+        s = cold.unionByName(big.select(*cold.columns))
+    else:
+        s = _stay_edges(events, key, order, group, direction, time, bridge_groups,
+                        outside_groups)
     s = s.withColumn("ICU_LOS_HRS", stay_hours("VISIT_IN_DT", "OUT_DT"))
     cond = F.col("VISIT_IN_DT").isNotNull() & F.col("OUT_DT").isNotNull()
     if window is not None:

@@ -12,7 +12,9 @@
 
 Plan shape: the seed is a broadcast join against the unit configuration, the
 expansion a left-semi join on the encounter key, and the stay windows share ONE
-hash exchange on the encounter. Descriptive lookups (patient names, department,
+hash exchange on the encounter. Encounters with more ADT rows than
+``cfg.hot_encounter_events`` are reconstructed in bounded chunks instead
+(``operators.stays_chunked``), so no task holds a whole giant encounter. Descriptive lookups (patient names, department,
 room, disposition, sex) are joined to the stays rather than to every event: the
 lookup keys are unique, so the result is the same and far fewer rows are joined.
 """
@@ -24,7 +26,7 @@ from pyspark.sql import functions as F
 
 from stayflow.functions.expr import ntz
 from stayflow.operators.joins import classify, lookup, restrict_to, within_unit_window
-from stayflow.operators.stays import build_stays
+from stayflow.operators.stays import build_stays, hot_keys
 from stayflow.sources.catalog import SourceCatalog
 from stayflow.sources.config import StudyConfig, units_frame
 
@@ -78,11 +80,16 @@ def all_encounters(src: SourceCatalog, cfg: StudyConfig | None = None) -> DataFr
     """One row per ICU stay, 22 columns (COHORT_COLUMNS)."""
     cfg = (cfg or StudyConfig()).validate()
     ev = cohort_events(src, cfg)
+    hot = None
+    if cfg.hot_encounter_events is not None:
+        # detected on the raw key column: one cheap, map-side-combined count
+        hot = hot_keys(src.table("CLARITY_ADT").select("PAT_ENC_CSN_ID"), "PAT_ENC_CSN_ID",
+                       cfg.hot_encounter_events)
     stays = build_stays(
         ev, "PAT_ENC_CSN_ID", ["SEQ_NUM_IN_ENC", "EVENT_DIR", "EVENT_ID", "DEPT_GRP"],
         "DEPT_GRP", "EVENT_DIR", "EFFECTIVE_TIME", bridge_groups=cfg.bridge_groups,
         outside_groups=cfg.outside_groups, min_hours=cfg.min_stay_hours,
-        window=(cfg.start, cfg.end))
+        window=(cfg.start, cfg.end), hot=hot, chunk_rows=cfg.chunk_events)
     patient = src.table("PATIENT")
     s = lookup(stays, patient, "PAT_ID",
                {"PAT_LAST_NAME": "PAT_LAST_NAME", "PAT_FIRST_NAME": "PAT_FIRST_NAME",

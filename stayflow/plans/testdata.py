@@ -110,6 +110,16 @@ def q_stays(spark, d):
     return _stays_of(event_log(spark, d))
 
 
+def q_stays_chunked(spark, d):
+    """The same stays through the hot-encounter plan: every encounter is treated as
+    hot and cut into chunks of 16 events."""
+    s = st.build_stays(event_log(spark, d), KEY, ORDER, "DEPT_GRP", "event_dir",
+                       "effective_time", window=EVENT_WINDOW, hot_threshold=0, chunk_rows=16)
+    return s.select(KEY, "event_id", "DEPT_GRP", "effective_time", "HOSP_ADMIT_DT", "HOSP_DC_DT",
+                    F.col("VISIT_IN_DT").alias("ICU_IN_DT"), F.col("OUT_DT").alias("ICU_OUT_DT"),
+                    "IN_YEAR", "ICU_LOS_HRS")
+
+
 def seeded_log(spark, d) -> DataFrame:
     """Events of encounters admitted/transferred into a configured unit while it was
     open and inside the study window (the cohort seed)."""
@@ -245,6 +255,7 @@ GROUP BY e.event_type"""
 
 QUERIES = {
     "stays": q_stays,
+    "stays_chunked": q_stays_chunked,
     "cohort": q_cohort,
     "encounter_bounds": q_encounter_bounds,
     "bridge_flags": q_bridge_flags,
@@ -257,6 +268,7 @@ QUERIES = {
 
 ORACLE = {
     "stays": SQL_STAYS,
+    "stays_chunked": SQL_STAYS,
     "cohort": SQL_COHORT,
     "encounter_bounds": SQL_ENCOUNTER_BOUNDS,
     "bridge_flags": SQL_BRIDGE_FLAGS,

@@ -56,6 +56,10 @@ class StudyConfig:
     bridge_groups: tuple[str, ...] = ("PERIOP",)
     outside_groups: tuple[str, ...] = ("PERIOP", "OTHER")
     min_stay_hours: float = 0.5
+    # Encounters with more ADT rows than this are reconstructed in chunks of
+    # ``chunk_events`` rows instead of by a single task (None: never split).
+    hot_encounter_events: int | None = 1_000_000
+    chunk_events: int = 250_000
 
     def validate(self, numeric_dept_ids: bool = True) -> "StudyConfig":
         if self.start >= self.end:
