@@ -17,7 +17,7 @@ from stayflow.functions.expr import boundary_diff, day_diff, typed_null, year_of
 from stayflow.operators.joins import lookup, restrict_to
 from stayflow.operators.merge import listagg_sorted, tagged_union
 from stayflow.sources.catalog import SourceCatalog
-from stayflow.sources.config import MeasureId, ids_frame
+from stayflow.sources.config import MeasureId
 
 DEATH = "20"              # fixed value: discharge disposition code meaning death
 LOINC_LABEL = "LONIC CODE"  # fixed value: the reference's (misspelt) nomenclature label
@@ -199,15 +199,16 @@ def flowsheet_extract(src: SourceCatalog, cohort: DataFrame, ids: Sequence[Measu
                       ) -> DataFrame:
     """Flowsheet measurements of the configured ids for cohort encounters.
 
-    The measurement table is the largest input: it is filtered by the (broadcast) id
-    list first, then joined to the records of cohort encounters, which are found
-    starting from the cohort side (encounter -> inpatient record -> flowsheet record).
+    The measurement table is the largest input: it is filtered by the configured id
+    list first (a literal IN list, so the filter reaches the parquet scan), then
+    joined to the records of cohort encounters, which are found starting from the
+    cohort side (encounter -> inpatient record -> flowsheet record).
     ``code`` is the flowsheet record id (FSD_ID), as in the reference.
     """
-    id_df = F.broadcast(ids_frame(src.spark, ids).select("FloId").distinct())
+    id_list = sorted({m.flo_id for m in ids})
     meas = src.table("IP_FLWSHT_MEAS").select(
         "FSD_ID", "FLO_MEAS_ID", "RECORDED_TIME", "MEAS_VALUE", "DOCUMENTATION_SOURCE_C")
-    meas = restrict_to(meas, id_df, {"FLO_MEAS_ID": "FloId"})
+    meas = meas.filter(F.col("FLO_MEAS_ID").isin(id_list))
     enc = restrict_to(src.table("PAT_ENC_HSP").select("PAT_ENC_CSN_ID", "PAT_ID",
                                                       "INPATIENT_DATA_ID"),
                       _cohort_keys(cohort), "PAT_ENC_CSN_ID")
