@@ -201,20 +201,24 @@ def q_tagged_union_min(spark, d):
     diags = lookup(diags, _read(spark, d, "part"), {"DX_ID": "p_partkey"},
                    {"p_name": "DX_NAME", "p_brand": "CURRENT_ICD10_LIST"})
     diags = diags.filter(F.col("DX_ID").isNotNull()).distinct()
-    enc = seed.select(F.col("o_custkey").alias("CSN"), F.col("o_orderkey").alias("PAT_ID"),
-                      F.col("o_orderdate").alias("BIRTH_DATE"))
+    # Each customer has several seed rows. Every aggregate over that fan-out is a MIN,
+    # and day differences fall as the birth date rises, so one row per customer with
+    # (min id, min birth, max birth) gives the same result without the fan-out.
+    enc = seed.groupBy(F.col("o_custkey").alias("CSN")).agg(
+        F.min("o_orderkey").alias("PAT_ID"), F.min("o_orderdate").alias("BIRTH_DATE"),
+        F.max("o_orderdate").alias("__last_birth"))
     j = diags.join(enc, "CSN", "inner")
-    birth, start, end = F.col("BIRTH_DATE"), F.col("START_DT"), F.col("END_DT")
+    last_birth, start, end = F.col("__last_birth"), F.col("START_DT"), F.col("END_DT")
     g = j.groupBy("CSN", "DX_ID", "START_DT", "END_DT").agg(
         F.min("PAT_ID").alias("pid"),
-        F.min(birth).alias("BIRTH_DATE"),
-        F.min(day_diff(birth, start)).alias("recorded_Anonymized"),
+        F.min("BIRTH_DATE").alias("BIRTH_DATE"),
+        F.min(day_diff(last_birth, start)).alias("recorded_Anonymized"),
         F.min("CURRENT_ICD10_LIST").alias("code"),
         F.min("DX_NAME").alias("codeText"),
         F.min("SOURCE").alias("source"),
         F.min(start).alias("onset"),
         F.min(end).alias("abatement"),
-        F.min(day_diff(birth, end)).alias("abatement_Anonymized"),
+        F.min(day_diff(last_birth, end)).alias("abatement_Anonymized"),
         F.min("PRIMARY_YN").alias("isPrimary"))
     return g.select(
         "pid", F.col("CSN").alias("hid"), "BIRTH_DATE", F.col("START_DT").alias("recorded"),
