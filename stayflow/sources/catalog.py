@@ -13,6 +13,7 @@ from collections.abc import Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def normalize(name: str) -> str:
@@ -33,13 +34,23 @@ class JdbcSource:
 
 
 class SourceCatalog:
+    """Name -> DataFrame resolver.
+
+    ``category_collation`` (e.g. ``"UTF8_LCASE_RTRIM"``) reproduces a
+    case-insensitive, trailing-blank-insensitive database collation for the
+    category tables' ``NAME`` columns, which the extracts compare with literals such as
+    'Canceled' or 'Transfer In'. Only those name columns are collated, never keys.
+    """
+
     def __init__(self, spark: SparkSession, parquet_dir: str | None = None,
                  database: str | None = None, jdbc: JdbcSource | None = None,
-                 tables: Mapping[str, DataFrame] | None = None):
+                 tables: Mapping[str, DataFrame] | None = None,
+                 category_collation: str | None = None):
         self.spark = spark
         self.parquet_dir = parquet_dir
         self.database = database
         self.jdbc = jdbc
+        self.category_collation = category_collation
         self._tables = {normalize(k): v for k, v in (tables or {}).items()}
 
     def register(self, name: str, df: DataFrame) -> "SourceCatalog":
@@ -48,6 +59,12 @@ class SourceCatalog:
 
     def table(self, name: str) -> DataFrame:
         key = normalize(name)
+        df = self._resolve(key, name)
+        if self.category_collation and key.startswith("ZC_") and "NAME" in df.columns:
+            df = df.withColumn("NAME", F.collate(F.col("NAME"), self.category_collation))
+        return df
+
+    def _resolve(self, key: str, name: str) -> DataFrame:
         if key in self._tables:
             return self._tables[key]
         if self.parquet_dir:

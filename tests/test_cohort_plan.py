@@ -67,3 +67,20 @@ def test_icu(cohort):
     assert rows[(1003, "PICU")].icuMortality == "0"
     assert rows[(1001, "PICU")].icuAdmission_Anonymized == 3600
     assert rows[(1001, "PICU")].icuDischarge_Anonymized == 7 * 3600
+
+
+def test_case_insensitive_category_names(spark):
+    from stayflow.sources.catalog import SourceCatalog
+    base = catalog(spark)
+    upper = {name: base.table(name) for name in base._tables}
+    upper["ZC_EVENT_TYPE"] = spark.createDataFrame(
+        [("1", "ADMISSION"), ("2", "DISCHARGE"), ("3", "TRANSFER IN  "), ("4", "transfer out")],
+        "EVENT_TYPE_C string, NAME string")
+    upper["ZC_EVENT_SUBTYPE"] = spark.createDataFrame([("1", "Original"), ("2", "CANCELED")],
+                                                      "EVENT_SUBTYPE_C string, NAME string")
+    binary = SourceCatalog(spark, tables=upper)
+    assert all_encounters(binary, CFG).count() == 0          # binary compare: no match
+    lcase = SourceCatalog(spark, tables=upper, category_collation="UTF8_LCASE_RTRIM")
+    got = sorted((r.PAT_ENC_CSN_ID, r.DEPT_GRP) for r in all_encounters(lcase, CFG).collect())
+    assert got == [(1001, "PICU"), (1002, "PICU"), (1003, "CICU"), (1003, "PICU"),
+                   (1005, "PICU"), (1008, "PICU")]
