@@ -10,7 +10,7 @@ shuffle size at run time; beyond that it uses a shuffled hash / sort-merge join.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -56,6 +56,27 @@ def restrict_to(df: DataFrame, keys: DataFrame, on: KeySpec) -> DataFrame:
     return df.join(right, on=names, how="left_semi")
 
 
+def key_set(df: DataFrame, cols: Sequence[str], name: str) -> DataFrame:
+    """Distinct key tuples of ``df``, materialised in the shared checkpoint folder.
+
+    Materialising makes the key set a file-backed relation whose real size the planner
+    sees, so a later ``restrict_to(big_table, key_set)`` is planned as a broadcast
+    semi join exactly when the keys are small (``autoBroadcastJoinThreshold``) and as a
+    shuffled one otherwise -- a size-checked broadcast with a fallback.
+    """
+    from stayflow.sources.sinks import materialize
+    return materialize(df.select(*cols).distinct(), name)
+
+
+def reduce_dimension(dim: DataFrame, keys: DataFrame, on: KeySpec) -> DataFrame:
+    """The rows of a large dimension that a (small, materialised) key set can match.
+
+    A LEFT JOIN from a few fact rows to a huge table otherwise shuffles the whole huge
+    table; semi-joining it to the facts' key set first filters it where it is scanned.
+    """
+    return restrict_to(dim, keys, on)
+
+
 def exclude(df: DataFrame, keys: DataFrame, on: KeySpec) -> DataFrame:
     """Rows of ``df`` whose key has no match in ``keys`` (LEFT JOIN ... IS NULL).
 

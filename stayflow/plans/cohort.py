@@ -25,7 +25,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stayflow.functions.expr import ntz
-from stayflow.operators.joins import classify, lookup, restrict_to, within_unit_window
+from stayflow.operators.joins import (
+    classify, key_set, lookup, reduce_dimension, restrict_to, within_unit_window)
 from stayflow.operators.stays import build_stays, hot_keys
 from stayflow.sources.catalog import SourceCatalog
 from stayflow.sources.config import StudyConfig, units_frame
@@ -90,14 +91,19 @@ def all_encounters(src: SourceCatalog, cfg: StudyConfig | None = None) -> DataFr
         "DEPT_GRP", "EVENT_DIR", "EFFECTIVE_TIME", bridge_groups=cfg.bridge_groups,
         outside_groups=cfg.outside_groups, min_hours=cfg.min_stay_hours,
         window=(cfg.start, cfg.end), hot=hot, chunk_rows=cfg.chunk_events)
-    patient = src.table("PATIENT")
+    # the large patient and encounter tables are reduced to the cohort's keys (taken
+    # from the events before the windows, materialised) before their lookups
+    keys = key_set(ev, ["PAT_ENC_CSN_ID", "PAT_ID"], "cohort-event-keys")
+    patient = reduce_dimension(src.table("PATIENT"), keys.select("PAT_ID"), "PAT_ID")
     s = lookup(stays, patient, "PAT_ID",
                {"PAT_LAST_NAME": "PAT_LAST_NAME", "PAT_FIRST_NAME": "PAT_FIRST_NAME",
                 "PAT_MRN_ID": "PAT_MRN_ID", "BIRTH_DATE": "BIRTH_DATE", "SEX_C": "SEX_C"})
     s = lookup(s, src.table("CLARITY_DEP"), "DEPARTMENT_ID",
                {"DEPARTMENT_NAME": "DEPARTMENT_NAME"})
     s = lookup(s, src.table("ED_ROOM_INFO"), "ROOM_ID", {"ROOM_NAME": "FIRST_ROOM_NAME"})
-    s = lookup(s, src.table("PAT_ENC_HSP"), "PAT_ENC_CSN_ID", {"DISCH_DISP_C": "DISCH_DISP_C"})
+    s = lookup(s, reduce_dimension(src.table("PAT_ENC_HSP"), keys.select("PAT_ENC_CSN_ID"),
+                                   "PAT_ENC_CSN_ID"),
+               "PAT_ENC_CSN_ID", {"DISCH_DISP_C": "DISCH_DISP_C"})
     s = lookup(s, src.table("ZC_DISCH_DISP"), "DISCH_DISP_C", {"NAME": "DISCH_DISP"})
     s = lookup(s, src.table("ZC_SEX"), {"SEX_C": "RCPT_MEM_SEX_C"}, {"NAME": "SEX"})
     return s.select(*[F.col("VISIT_IN_DT").alias("ICU_IN_DT") if c == "ICU_IN_DT" else

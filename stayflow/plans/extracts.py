@@ -14,10 +14,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stayflow.functions.expr import boundary_diff, day_diff, typed_null, year_of
-from stayflow.operators.joins import lookup, restrict_to
+from stayflow.operators.joins import key_set, lookup, reduce_dimension, restrict_to
 from stayflow.operators.merge import listagg_sorted, tagged_union
 from stayflow.sources.catalog import SourceCatalog
 from stayflow.sources.config import MeasureId
+from stayflow.sources.sinks import materialize
 
 DEATH = "20"              # fixed value: discharge disposition code meaning death
 LOINC_LABEL = "LONIC CODE"  # fixed value: the reference's (misspelt) nomenclature label
@@ -25,7 +26,8 @@ COMPONENT_LABEL = "COMPONENT CODE"
 
 
 def _cohort_keys(cohort: DataFrame, col: str = "PAT_ENC_CSN_ID") -> DataFrame:
-    return cohort.select(col).distinct()
+    """The cohort's distinct keys as a small materialised set (see ``key_set``)."""
+    return key_set(cohort, [col], f"cohort-{col}")
 
 
 # -- P2 hospital ---------------------------------------------------------------
@@ -106,14 +108,21 @@ def diagnoses(src: SourceCatalog, cohort: DataFrame) -> DataFrame:
     keys = _cohort_keys(cohort)
     enc_dx = restrict_to(src.table("PAT_ENC_DX"), keys, "PAT_ENC_CSN_ID")
     prob = restrict_to(src.table("PAT_ENC_HOSP_PROB"), keys, "PAT_ENC_CSN_ID")
-    prob = lookup(prob, src.table("PROBLEM_LIST"), "PROBLEM_LIST_ID",
+    problems = reduce_dimension(src.table("PROBLEM_LIST"),
+                                key_set(prob, ["PROBLEM_LIST_ID"], "problem-ids"),
+                                "PROBLEM_LIST_ID")
+    prob = lookup(prob, problems, "PROBLEM_LIST_ID",
                   {"NOTED_DATE": "NOTED_DATE", "RESOLVED_DATE": "RESOLVED_DATE",
                    "DX_ID": "DX_ID"})
     bill = restrict_to(src.table("PAT_ENC").select("PAT_ENC_CSN_ID", "HSP_ACCOUNT_ID"), keys,
                        "PAT_ENC_CSN_ID")
-    bill = lookup(bill, src.table("HSP_ACCOUNT"), "HSP_ACCOUNT_ID",
+    accounts = key_set(bill, ["HSP_ACCOUNT_ID"], "account-ids")
+    bill = lookup(bill, reduce_dimension(src.table("HSP_ACCOUNT"), accounts, "HSP_ACCOUNT_ID"),
+                  "HSP_ACCOUNT_ID",
                   {"ADM_DATE_TIME": "ADM_DATE_TIME", "LAST_INTRM_BILL_DT": "LAST_INTRM_BILL_DT"})
-    bill = lookup(bill, src.table("HSP_ACCT_DX_LIST"), "HSP_ACCOUNT_ID", {"DX_ID": "DX_ID"})
+    bill = lookup(bill, reduce_dimension(src.table("HSP_ACCT_DX_LIST"), accounts,
+                                         "HSP_ACCOUNT_ID"),
+                  "HSP_ACCOUNT_ID", {"DX_ID": "DX_ID"})
     ed = restrict_to(src.table("F_ED_ENCOUNTERS").filter(F.col("PRIMARY_DX_ED_YN") == "Y"),
                      keys, "PAT_ENC_CSN_ID")
     u = tagged_union({
@@ -164,18 +173,20 @@ def labs(src: SourceCatalog, cohort: DataFrame) -> DataFrame:
     res = restrict_to(src.table("ORDER_RESULTS").select(
         "ORDER_PROC_ID", "PAT_ENC_CSN_ID", "COMPONENT_ID", "COMPON_LNC_ID", "RESULT_TIME",
         "ORD_VALUE"), _cohort_keys(cohort), "PAT_ENC_CSN_ID")
-    x = lookup(res, src.table("ORDER_PROC"), "ORDER_PROC_ID",
-               {"ORDER_PROC_ID": "__op_id", "ORDER_TIME": "ORDER_TIME"})
+    orders = key_set(res, ["ORDER_PROC_ID"], "lab-order-ids")
+    x = lookup(res, reduce_dimension(src.table("ORDER_PROC"), orders, "ORDER_PROC_ID"),
+               "ORDER_PROC_ID", {"ORDER_PROC_ID": "__op_id", "ORDER_TIME": "ORDER_TIME"})
     # the second order table hangs off the first (no row there, no row here)
-    x = lookup(x, src.table("ORDER_PROC_2"), {"__op_id": "ORDER_PROC_ID"},
-               {"SPECIMN_TAKEN_TIME": "SPECIMN_TAKEN_TIME"})
+    x = lookup(x, reduce_dimension(src.table("ORDER_PROC_2"), orders, "ORDER_PROC_ID"),
+               {"__op_id": "ORDER_PROC_ID"}, {"SPECIMN_TAKEN_TIME": "SPECIMN_TAKEN_TIME"})
     x = lookup(x, src.table("CLARITY_COMPONENT"), "COMPONENT_ID",
                {"COMPONENT_ID": "__comp_id", "NAME": "__comp_name", "LOINC_CODE": "LOINC_CODE",
                 "DFLT_UNITS": "DFLT_UNITS"})
     x = lookup(x, src.table("LNC_DB_MAIN"), {"COMPON_LNC_ID": "RECORD_ID"},
                {"LNC_CODE": "LNC_CODE", "LNC_FULL_NAM": "LNC_FULL_NAM"})
-    x = lookup(x, src.table("PAT_ENC"), "PAT_ENC_CSN_ID",
-               {"PAT_ID": "PAT_ID", "HOSP_ADMSN_TIME": "HOSP_ADMIT_DT"})
+    x = lookup(x, reduce_dimension(src.table("PAT_ENC"), _cohort_keys(cohort),
+                                    "PAT_ENC_CSN_ID"),
+               "PAT_ENC_CSN_ID", {"PAT_ID": "PAT_ID", "HOSP_ADMSN_TIME": "HOSP_ADMIT_DT"})
     lnc, comp = F.col("LNC_CODE"), F.col("LOINC_CODE")
     return x.select(
         F.col("PAT_ID").alias("pid"), F.col("PAT_ENC_CSN_ID").alias("hid"),
@@ -212,14 +223,16 @@ def flowsheet_extract(src: SourceCatalog, cohort: DataFrame, ids: Sequence[Measu
     enc = restrict_to(src.table("PAT_ENC_HSP").select("PAT_ENC_CSN_ID", "PAT_ID",
                                                       "INPATIENT_DATA_ID"),
                       _cohort_keys(cohort), "PAT_ENC_CSN_ID")
-    rec = src.table("IP_FLWSHT_REC").select("FSD_ID", "INPATIENT_DATA_ID").join(
-        enc, "INPATIENT_DATA_ID", "inner")
+    # the cohort's flowsheet records (multiplicity kept): small and materialised, so
+    # the planner can broadcast them into the scan of the measurement table
+    rec = materialize(src.table("IP_FLWSHT_REC").select("FSD_ID", "INPATIENT_DATA_ID").join(
+        enc, "INPATIENT_DATA_ID", "inner"), "flowsheet-records")
     x = meas.join(rec, "FSD_ID", "inner")
     x = lookup(x, src.table("ZC_FLO_DOC_SRC"), "DOCUMENTATION_SOURCE_C", {"NAME": "source"})
     x = lookup(x, src.table("IP_FLO_GP_DATA"), "FLO_MEAS_ID",
                {"UNITS": "units", "DISP_NAME": "name"})
-    x = lookup(x, src.table("PATIENT"), "PAT_ID",
-               {"PAT_ID": "__pat_id", "BIRTH_DATE": "BIRTH_DATE"})
+    x = lookup(x, reduce_dimension(src.table("PATIENT"), rec.select("PAT_ID"), "PAT_ID"),
+               "PAT_ID", {"PAT_ID": "__pat_id", "BIRTH_DATE": "BIRTH_DATE"})
     return x.select(
         F.col("__pat_id").alias("pid"), F.col("PAT_ENC_CSN_ID").alias("hid"),
         F.col("FSD_ID").alias("code"), F.col("RECORDED_TIME").alias("startTime"),

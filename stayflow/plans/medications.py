@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from stayflow.functions.expr import status_ok
 from stayflow.operators.coverage import coverage_summary, coverage_waterfall, unmatched_ids
 from stayflow.operators.hierarchy import expand_hierarchy
-from stayflow.operators.joins import lookup, restrict_to
+from stayflow.operators.joins import key_set, lookup, reduce_dimension, restrict_to
 from stayflow.operators.linkage import (
     best_code, class_links_shared, link_codes, link_rows, unpivot_ids)
 from stayflow.sources.catalog import SourceCatalog
@@ -27,10 +27,18 @@ MEDICATION_ID_LABEL = "MEDICATION ID"
 
 
 def _cohort_orders(src: SourceCatalog, cohort: DataFrame) -> DataFrame:
-    """Orders of cohort encounters (filtering the order table before the large
-    administration table is joined to it)."""
-    keys = cohort.select("PAT_ENC_CSN_ID").distinct()
-    return restrict_to(src.table("ORDER_MED"), keys, "PAT_ENC_CSN_ID")
+    """Orders of cohort encounters, materialised: the administration table (the
+    largest input) is then joined to a relation whose real size the planner knows,
+    i.e. broadcast into its scan when small enough."""
+    keys = key_set(cohort, ["PAT_ENC_CSN_ID"], "cohort-PAT_ENC_CSN_ID")
+    return materialize(restrict_to(src.table("ORDER_MED"), keys, "PAT_ENC_CSN_ID"),
+                       "cohort-orders")
+
+
+def _order_info(src: SourceCatalog, orders: DataFrame) -> DataFrame:
+    """ORDER_MEDINFO rows of the given orders only (semi-join reduction)."""
+    return reduce_dimension(src.table("ORDER_MEDINFO"), orders.select("ORDER_MED_ID"),
+                            "ORDER_MED_ID")
 
 
 # (category table, its key, administration column, name alias, code alias)
@@ -57,12 +65,13 @@ def _unit_lookups(x: DataFrame, src: SourceCatalog, with_codes: bool) -> DataFra
 
 def medications(src: SourceCatalog, cohort: DataFrame) -> DataFrame:
     """P9: administrations of cohort orders, 21 columns, NOT de-duplicated."""
-    om = _cohort_orders(src, cohort).select(
+    orders = _cohort_orders(src, cohort)
+    om = orders.select(
         F.col("ORDER_MED_ID").alias("__om"), "PAT_ID", "PAT_ENC_CSN_ID", "DISPLAY_NAME")
     mar = src.table("MAR_ADMIN_INFO")
     x = mar.join(om, mar["ORDER_MED_ID"] == om["__om"], "inner")
     x = _unit_lookups(x, src, with_codes=True)
-    x = lookup(x, src.table("ORDER_MEDINFO"), "ORDER_MED_ID",
+    x = lookup(x, _order_info(src, orders), "ORDER_MED_ID",
                {"DISPENSABLE_MED_ID": "__disp_id"})
     x = lookup(x, src.table("CLARITY_MEDICATION"), {"__disp_id": "MEDICATION_ID"},
                {"MEDICATION_ID": "medID", "NAME": "medName"})
@@ -93,7 +102,8 @@ def rxnorm_pick(src: SourceCatalog) -> DataFrame:
 def medications_v1(src: SourceCatalog, cohort: DataFrame) -> DataFrame:
     """P8: the legacy wide administration extract (29 columns). Names and classes
     come from the dispensable medication, the code from the ordered one."""
-    om = _cohort_orders(src, cohort).select(
+    orders = _cohort_orders(src, cohort)
+    om = orders.select(
         F.col("ORDER_MED_ID").alias("__om"), F.col("PAT_ENC_CSN_ID"), "MEDICATION_ID",
         "DESCRIPTION", "DISPLAY_NAME", "ORDER_STATUS_C")
     mar = src.table("MAR_ADMIN_INFO")
@@ -104,7 +114,7 @@ def medications_v1(src: SourceCatalog, cohort: DataFrame) -> DataFrame:
     x = lookup(x, src.table("ZC_MAR_RSN"), "REASON_C", {"NAME": "MAR_REASON"})
     x = lookup(x, src.table("CLARITY_DEP"), {"MAR_ADMIN_DEPT_ID": "DEPARTMENT_ID"},
                {"DEPARTMENT_NAME": "MED_ADMIN_DEPT_NAME"})
-    x = lookup(x, src.table("ORDER_MEDINFO"), "ORDER_MED_ID",
+    x = lookup(x, _order_info(src, orders), "ORDER_MED_ID",
                {"DISPENSABLE_MED_ID": "__disp_id"})
     x = lookup(x, src.table("CLARITY_MEDICATION"), {"__disp_id": "MEDICATION_ID"},
                {"NAME": "MED_NAME", "ROUTE": "MED_ROUTE", "THERA_CLASS_C": "__thera",
@@ -121,8 +131,12 @@ def medications_v1(src: SourceCatalog, cohort: DataFrame) -> DataFrame:
                {"NAME": "SIMPLE_GENERIC"})
     x = lookup(x, rxnorm_pick(src), "MEDICATION_ID",
                {"rxnormcode": "__rx_code", "nomenclature": "__rx_nom"})
-    x = lookup(x, src.table("PAT_ENC"), "PAT_ENC_CSN_ID", {"PAT_ID": "__enc_pat"})
-    x = lookup(x, src.table("PATIENT"), {"__enc_pat": "PAT_ID"}, {"BIRTH_DATE": "BIRTH_DATE"})
+    encounters = materialize(reduce_dimension(
+        src.table("PAT_ENC").select("PAT_ENC_CSN_ID", "PAT_ID"),
+        orders.select("PAT_ENC_CSN_ID"), "PAT_ENC_CSN_ID"), "cohort-order-encounters")
+    x = lookup(x, encounters, "PAT_ENC_CSN_ID", {"PAT_ID": "__enc_pat"})
+    x = lookup(x, reduce_dimension(src.table("PATIENT"), encounters.select("PAT_ID"), "PAT_ID"),
+               {"__enc_pat": "PAT_ID"}, {"BIRTH_DATE": "BIRTH_DATE"})
     return x.select(
         F.col("__enc_pat").alias("PAT_ID"), "ORDER_MED_ID", "PAT_ENC_CSN_ID", "LINE",
         "TAKEN_TIME", "BIRTH_DATE", "MAR_TIME_SRC", F.col("__action").alias("MAR_ACTION"),
