@@ -1,5 +1,6 @@
 """P2-P7: extracts hanging off the cohort (hospital, ICU, conditions, labs,
-vital signs and interventions).
+vital signs and interventions). Pass the published cohort (``sinks.publish`` /
+``plans.run.extracts``), as the reference's scripts read its published table.
 
 Every extract restricts its source facts to the cohort's encounters with a left-semi
 join BEFORE the descriptive lookups, so the large fact tables are filtered first; the
@@ -26,8 +27,10 @@ COMPONENT_LABEL = "COMPONENT CODE"
 
 
 def _cohort_keys(cohort: DataFrame, col: str = "PAT_ENC_CSN_ID") -> DataFrame:
-    """The cohort's distinct keys as a small materialised set (see ``key_set``)."""
-    return key_set(cohort, [col], f"cohort-{col}")
+    """The cohort's distinct keys. Extracts expect the published cohort (a parquet
+    table, see ``plans.run``), whose real size the planner sees, so these keys are
+    broadcast into fact-table scans exactly when they are small."""
+    return cohort.select(col).distinct()
 
 
 # -- P2 hospital ---------------------------------------------------------------

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from stayflow.functions.expr import status_ok
 from stayflow.operators.coverage import coverage_summary, coverage_waterfall, unmatched_ids
 from stayflow.operators.hierarchy import expand_hierarchy
-from stayflow.operators.joins import key_set, lookup, reduce_dimension, restrict_to
+from stayflow.operators.joins import lookup, reduce_dimension, restrict_to
 from stayflow.operators.linkage import (
     best_code, class_links_shared, link_codes, link_rows, unpivot_ids)
 from stayflow.sources.catalog import SourceCatalog
@@ -30,7 +30,7 @@ def _cohort_orders(src: SourceCatalog, cohort: DataFrame) -> DataFrame:
     """Orders of cohort encounters, materialised: the administration table (the
     largest input) is then joined to a relation whose real size the planner knows,
     i.e. broadcast into its scan when small enough."""
-    keys = key_set(cohort, ["PAT_ENC_CSN_ID"], "cohort-PAT_ENC_CSN_ID")
+    keys = cohort.select("PAT_ENC_CSN_ID").distinct()
     return materialize(restrict_to(src.table("ORDER_MED"), keys, "PAT_ENC_CSN_ID"),
                        "cohort-orders")
 
