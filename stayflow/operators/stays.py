@@ -96,14 +96,55 @@ def stay_hours(start: str | Column, end: str | Column) -> Column:
     return hours_from_minutes(boundary_diff("MINUTE", start, end))
 
 
-def _stay_edges(events, key, order, group, direction, time, bridge_groups, outside_groups):
+STEPS = ("bounds", "bridges", "runs", "edges", "pairs")
+
+
+def _plain_steps(events, key, order, group, direction, time, bridge_groups, outside_groups,
+                 upto="pairs"):
     s = encounter_bounds(events, key, order, time)
+    if upto == "bounds":
+        return s
     s = flag_bridges(s, key, order, group, direction, bridge_groups)
+    if upto == "bridges":
+        return s
     s = mark_runs(s, key, order, group)
+    if upto == "runs":
+        return s
     s = mark_edges(s, key, order, group, time, outside_groups)
+    if upto == "edges":
+        return s
     return pair_edges(s, key, order)
 
 
+def stay_steps(events: DataFrame, key: str, order: Sequence[str], group: str,
+               direction: str, time: str, upto: str = "pairs",
+               bridge_groups: Sequence[str] = ("PERIOP",),
+               outside_groups: Sequence[str] = ("PERIOP", "OTHER"),
+               hot_threshold: int | None = None, chunk_rows: int = 1_000_000,
+               hot: DataFrame | None = None) -> DataFrame:
+    """The step chain up to ``upto`` (bounds, bridges, runs, edges, pairs).
+
+    Encounters with more than ``hot_threshold`` rows (or listed in ``hot``) take the
+    chunked plan (``stays_chunked``), the rest the single-exchange window plan; the
+    rows and columns are the same either way.
+    """
+    if upto not in STEPS:
+        raise ValueError(f"upto must be one of {STEPS}")
+    if hot is None and hot_threshold is not None:
+        hot = hot_keys(events, key, hot_threshold)
+    if hot is not None and not hot.isEmpty():
+        from stayflow.operators.joins import exclude, restrict_to
+        from stayflow.operators.stays_chunked import build_stays_chunked
+        cold = _plain_steps(exclude(events, hot, key), key, order, group, direction, time,
+                            bridge_groups, outside_groups, upto)
+        big = build_stays_chunked(restrict_to(events, hot, key), key, list(order), group,
+                                  direction, time, chunk_rows, bridge_groups, outside_groups,
+                                  upto)
+        return cold.unionByName(big.select(*cold.columns))
+    return _plain_steps(events, key, order, group, direction, time, bridge_groups,
+                        outside_groups, upto)
+
+
 def hot_keys(events: DataFrame, key: str, threshold: int) -> DataFrame:
     """Keys with more than ``threshold`` rows (a map-side-combined count). At most
     rows / threshold keys exist, so the result is small by construction."""
@@ -132,19 +173,8 @@ def build_stays(events: DataFrame, key, order: Sequence[str | Column], group: st
     (``stays_chunked``) instead of being windowed by one task; the others take the
     single-exchange window plan. The result is the same either way.
     """
-    if hot is None and hot_threshold is not None:
-        hot = hot_keys(events, key, hot_threshold)
-    if hot is not None and not hot.isEmpty():
-        from stayflow.operators.joins import exclude, restrict_to
-        from stayflow.operators.stays_chunked import build_stays_chunked
-        cold = _stay_edges(exclude(events, hot, key), key, order, group, direction, time,
-                           bridge_groups, outside_groups)
-        big = build_stays_chunked(restrict_to(events, hot, key), key, list(order), group,
-                                  direction, time, chunk_rows, bridge_groups, outside_groups)
-        s = cold.unionByName(big.select(*cold.columns))
-    else:
-        s = _stay_edges(events, key, order, group, direction, time, bridge_groups,
-                        outside_groups)
+    s = stay_steps(events, key, order, group, direction, time, "pairs", bridge_groups,
+                   outside_groups, hot_threshold, chunk_rows, hot)
     s = s.withColumn("ICU_LOS_HRS", stay_hours("VISIT_IN_DT", "OUT_DT"))
     cond = F.col("VISIT_IN_DT").isNotNull() & F.col("OUT_DT").isNotNull()
     if window is not None:

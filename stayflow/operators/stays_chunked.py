@@ -75,16 +75,24 @@ def _neighbors(df: DataFrame, key: str, order: Sequence[str], cols: Sequence[str
     return out.withColumns(new).drop(*edges)
 
 
+STEPS = ("bounds", "bridges", "runs", "edges", "pairs")
+
+
 def build_stays_chunked(events: DataFrame, key: str, order: Sequence[str], group: str,
                         direction: str, time: str, chunk_rows: int,
                         bridge_groups: Sequence[str] = ("PERIOP",),
-                        outside_groups: Sequence[str] = ("PERIOP", "OTHER")) -> DataFrame:
-    """Same rows and columns as ``stays.pair_edges`` after ``encounter_bounds``...
-    ``flag_bridges`` ... (before the final stay filter), for any encounter size."""
+                        outside_groups: Sequence[str] = ("PERIOP", "OTHER"),
+                        upto: str = "pairs") -> DataFrame:
+    """The rows and columns of the plain step chain (``stays.stay_steps``) up to
+    step ``upto`` (bounds, bridges, runs, edges or pairs), for any encounter size."""
     order = list(order)
     rank = F.struct(*[F.col(c) for c in order])
     bounds = events.groupBy(key).agg(F.min_by(F.col(time), rank).alias("HOSP_ADMIT_DT"),
                                      F.max_by(F.col(time), rank).alias("HOSP_DC_DT"))
+    # one row per hot encounter: joined on the key (broadcast by its small size)
+    events = events.join(bounds, key, "inner")
+    if upto == "bounds":
+        return events
     ev = assign_chunks(events, key, order[0], chunk_rows)
 
     # bridges: adjacent In -> Out pair inside a bridge group
@@ -99,6 +107,8 @@ def build_stays_chunked(events: DataFrame, key: str, order: Sequence[str], group
     b = b.withColumn("OUT_PERIOP", F.when(out_half | in_half, F.lit("YES"))) \
          .drop("__prev", "__next")
     b = materialize(b, "stays-bridges")
+    if upto == "bridges":
+        return b.drop(CHUNK)
 
     # runs over the remaining rows
     r = _neighbors(b.filter(F.col("OUT_PERIOP").isNull()), key, order, [group],
@@ -106,6 +116,8 @@ def build_stays_chunked(events: DataFrame, key: str, order: Sequence[str], group
     r = r.withColumn("SAME_DEPT", F.when(F.col("__prev." + group) == g, F.lit("YES"))) \
          .drop("__prev")
     r = materialize(r, "stays-runs")
+    if upto == "runs":
+        return r.drop(CHUNK)
 
     # run edges over unit rows
     u = _neighbors(r.filter(~F.col(group).isin(list(outside_groups))), key, order,
@@ -117,6 +129,8 @@ def build_stays_chunked(events: DataFrame, key: str, order: Sequence[str], group
         "VISIT_OUT_DT": F.when(next_same.isNull(), F.col(time)),
     }).drop("__next")
     u = materialize(u, "stays-edges")
+    if upto == "edges":
+        return u.drop(CHUNK)
 
     # pair each run start with the next edge's end
     p = _neighbors(u.filter(F.col("VISIT_IN_DT").isNotNull() | F.col("VISIT_OUT_DT").isNotNull()),
@@ -125,4 +139,4 @@ def build_stays_chunked(events: DataFrame, key: str, order: Sequence[str], group
         "OUT_DT": F.when(F.col("VISIT_OUT_DT").isNull(), F.col("__next.VISIT_OUT_DT")),
         "IN_YEAR": year_of("VISIT_IN_DT"),
     }).drop("__next", CHUNK)
-    return p.join(bounds, key, "inner")
+    return p

@@ -7,7 +7,7 @@ here they are typed values turned into small (broadcastable) DataFrames.
 from __future__ import annotations
 
 import warnings
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession

@@ -2,6 +2,7 @@
 
 from datetime import datetime, timedelta
 
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
@@ -63,3 +64,17 @@ def test_random_chunked_equals_plain(spark, encounters, chunk_rows):
     chunked = build_stays(df, "enc", order, "dept_grp", "dir", "effective_time",
                           hot_threshold=3, chunk_rows=chunk_rows)
     assert _rows(chunked) == _rows(plain)
+
+
+@pytest.mark.parametrize("upto", ["bounds", "bridges", "runs", "edges", "pairs"])
+def test_each_step_chunked_equals_plain(spark, upto):
+    from stayflow.operators.stays import stay_steps
+    ev = events_frame(spark, CASES)
+    plain = stay_steps(ev, "enc", ORDER, "dept_grp", "dir", "effective_time", upto)
+    chunked = stay_steps(ev, "enc", ORDER, "dept_grp", "dir", "effective_time", upto,
+                         hot_threshold=0, chunk_rows=2)
+    cols = sorted(plain.columns)
+    assert sorted(chunked.columns) == cols
+    key = lambda r: tuple((v is None, v) for v in r)
+    assert sorted((tuple(r[c] for c in cols) for r in chunked.collect()), key=key) == \
+        sorted((tuple(r[c] for c in cols) for r in plain.collect()), key=key)
