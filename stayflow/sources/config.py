@@ -81,6 +81,32 @@ class StudyConfig:
         return self
 
 
+def config_from_dict(d: dict) -> StudyConfig:
+    """A StudyConfig from plain JSON-style values (dates as ISO strings)."""
+    def dt(v):
+        return datetime.fromisoformat(v) if isinstance(v, str) else v
+
+    def dd(v):
+        return date.fromisoformat(v) if isinstance(v, str) else v
+
+    kw = {k: v for k, v in d.items() if k not in ("units", "vital_ids", "intervention_ids")}
+    for k in ("start", "end"):
+        if k in kw:
+            kw[k] = dt(kw[k])
+    for k in ("network_departments", "department_patterns", "network_event_types",
+              "bridge_groups", "outside_groups"):
+        if k in kw:
+            kw[k] = tuple(kw[k])
+    if "units" in d:
+        kw["units"] = tuple(UnitWindow(u["group"], str(u["dept_id"]), dd(u["open_date"]),
+                                       dd(u["close_date"]), u.get("display_name"))
+                            for u in d["units"])
+    for k in ("vital_ids", "intervention_ids"):
+        if k in d:
+            kw[k] = tuple(MeasureId(str(m["flo_id"]), m.get("display_name")) for m in d[k])
+    return StudyConfig(**kw)
+
+
 UNITS_SCHEMA = "dpt_grp string, dpt_id string, opendate date, closedate date, displayName string"
 IDS_SCHEMA = "FloId string, DisplayName string"
 

@@ -49,3 +49,37 @@ def test_write_all(spark):
     assert {"cohort", "hospital", "med_links", "med_coverage_summary"} <= set(paths)
     for p in paths.values():
         assert any(f.endswith(".csv") for f in os.listdir(p))
+
+
+def test_config_from_dict():
+    from stayflow.sources.config import config_from_dict
+    cfg = config_from_dict({
+        "start": "2020-01-01", "end": "2020-12-31T00:00:00",
+        "units": [{"group": "PICU", "dept_id": 100, "open_date": "2019-01-01",
+                   "close_date": "2021-01-01"},
+                  {"group": "PERIOP", "dept_id": "900", "open_date": "2019-01-01",
+                   "close_date": "2021-01-01"}],
+        "vital_ids": [{"flo_id": 10, "display_name": "SpO2"}],
+        "hot_encounter_events": None})
+    assert cfg.units[0].dept_id == "100" and cfg.vital_ids[0].flo_id == "10"
+    assert cfg.start == datetime(2020, 1, 1) and cfg.hot_encounter_events is None
+    cfg.validate()
+
+
+def test_cli_writes_extracts(spark):
+    import json as _json
+    from stayflow.__main__ import main
+    d = tempfile.mkdtemp(prefix="stayflow-cli-src-")
+    src = catalog(spark)
+    for name, df in src._tables.items():
+        df.write.parquet(os.path.join(d, name + ".parquet"))
+    conf = os.path.join(d, "study.json")
+    with open(conf, "w") as fh:
+        _json.dump({"start": "2020-01-01", "end": "2020-12-31",
+                    "units": [{"group": u.group, "dept_id": u.dept_id,
+                               "open_date": str(u.open_date), "close_date": str(u.close_date)}
+                              for u in CFG.units]}, fh)
+    out = tempfile.mkdtemp(prefix="stayflow-cli-out-")
+    main(["--parquet-dir", d, "--out", out, "--config", conf, "--format", "parquet"])
+    cohort = spark.read.parquet(os.path.join(out, "PDC_All_Encounters"))
+    assert cohort.count() == 6
