@@ -40,7 +40,9 @@ def patient_names(src: SourceCatalog, cohort: DataFrame, link_table: str, code_c
     """'|'-joined category names per cohort patient (ordered by name, duplicates kept)."""
     pats = _cohort_keys(cohort, "PAT_ID")
     links = restrict_to(src.table(link_table).select("PAT_ID", code_col), pats, "PAT_ID")
-    links = restrict_to(links, src.table("PATIENT").select("PAT_ID"), "PAT_ID")
+    # patients that exist: the (large) patient table reduced to the cohort's patients
+    known = reduce_dimension(src.table("PATIENT").select("PAT_ID"), pats, "PAT_ID")
+    links = restrict_to(links, known, "PAT_ID")
     named = links.join(src.table(category).select(code_col, "NAME"), code_col, "inner")
     return named.groupBy("PAT_ID").agg(listagg_sorted("NAME", "|").alias(out))
 
