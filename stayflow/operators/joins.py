@@ -47,6 +47,14 @@ def _keys(keys: DataFrame, on: KeySpec) -> tuple[DataFrame, list[str]]:
     return keys.select(*[F.col(k).alias(d) for d, k in pairs]), [d for d, _ in pairs]
 
 
+def duplicate_keys(df: DataFrame, keys: Sequence[str], limit: int = 5) -> list:
+    """Up to ``limit`` key values that occur more than once (an aggregate; map-side
+    combined). Empty when the key is unique."""
+    dup = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+           .filter(F.col("__n") > 1).limit(limit))
+    return [tuple(r[k] for k in keys) for r in dup.collect()]
+
+
 def restrict_to(df: DataFrame, keys: DataFrame, on: KeySpec) -> DataFrame:
     """Rows of ``df`` whose key appears in ``keys`` (``IN (SELECT ...)``).
 

@@ -26,7 +26,8 @@ from pyspark.sql import functions as F
 
 from stayflow.functions.expr import ntz
 from stayflow.operators.joins import (
-    classify, key_set, lookup, reduce_dimension, restrict_to, within_unit_window)
+    classify, duplicate_keys, key_set, lookup, reduce_dimension, restrict_to,
+    within_unit_window)
 from stayflow.operators.stays import build_stays, hot_keys
 from stayflow.sources.catalog import SourceCatalog
 from stayflow.sources.config import StudyConfig, units_frame
@@ -77,9 +78,28 @@ def cohort_events(src: SourceCatalog, cfg: StudyConfig) -> DataFrame:
     return classify(ev, units_frame(src.spark, cfg.units), "DEPARTMENT_ID")
 
 
+# lookup tables of the cohort plan and their keys (checked by check_lookup_keys)
+LOOKUP_KEYS = {
+    "ZC_EVENT_TYPE": ["EVENT_TYPE_C"], "ZC_EVENT_SUBTYPE": ["EVENT_SUBTYPE_C"],
+    "PATIENT": ["PAT_ID"], "CLARITY_DEP": ["DEPARTMENT_ID"], "ED_ROOM_INFO": ["ROOM_ID"],
+    "PAT_ENC_HSP": ["PAT_ENC_CSN_ID"], "ZC_DISCH_DISP": ["DISCH_DISP_C"],
+    "ZC_SEX": ["RCPT_MEM_SEX_C"],
+}
+
+
+def check_lookup_keys(src: SourceCatalog) -> None:
+    """Raise if a lookup table of the cohort plan has duplicate keys (Q22)."""
+    bad = {name: dups for name, keys in LOOKUP_KEYS.items()
+           if (dups := duplicate_keys(src.table(name), keys))}
+    if bad:
+        raise ValueError(f"duplicate lookup keys would duplicate stays: {bad}")
+
+
 def all_encounters(src: SourceCatalog, cfg: StudyConfig | None = None) -> DataFrame:
     """One row per ICU stay, 22 columns (COHORT_COLUMNS)."""
     cfg = (cfg or StudyConfig()).validate()
+    if cfg.check_lookup_keys:
+        check_lookup_keys(src)
     ev = cohort_events(src, cfg)
     hot = None
     if cfg.hot_encounter_events is not None:

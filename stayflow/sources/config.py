@@ -60,6 +60,9 @@ class StudyConfig:
     # ``chunk_events`` rows instead of by a single task (None: never split).
     hot_encounter_events: int | None = 1_000_000
     chunk_events: int = 250_000
+    # Opt-in (Q22): fail fast if a lookup table of the cohort plan has duplicate keys,
+    # which would duplicate stays.
+    check_lookup_keys: bool = False
 
     def validate(self, numeric_dept_ids: bool = True) -> "StudyConfig":
         if self.start >= self.end:

@@ -84,3 +84,17 @@ def test_case_insensitive_category_names(spark):
     got = sorted((r.PAT_ENC_CSN_ID, r.DEPT_GRP) for r in all_encounters(lcase, CFG).collect())
     assert got == [(1001, "PICU"), (1002, "PICU"), (1003, "CICU"), (1003, "PICU"),
                    (1005, "PICU"), (1008, "PICU")]
+
+
+def test_lookup_key_check(spark):
+    import dataclasses
+
+    import pytest as _pytest
+    from stayflow.sources.catalog import SourceCatalog
+    base = catalog(spark)
+    tables = {name: base.table(name) for name in base._tables}
+    cfg = dataclasses.replace(CFG, check_lookup_keys=True)
+    assert all_encounters(SourceCatalog(spark, tables=tables), cfg).count() == 6
+    tables["ZC_SEX"] = tables["ZC_SEX"].unionByName(tables["ZC_SEX"])
+    with _pytest.raises(ValueError, match="ZC_SEX"):
+        all_encounters(SourceCatalog(spark, tables=tables), cfg)
