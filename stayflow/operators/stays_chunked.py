@@ -45,7 +45,9 @@ def assign_chunks(df: DataFrame, key: str, lead_col: str, chunk_rows: int) -> Da
                                 F.count(F.lit(1)).alias("__n"))
     m = F.ceil(F.col("__n") / F.lit(chunk_rows)).cast("double")
     width = F.col("__hi") - F.col("__lo") + F.lit(1.0)
-    chunk = F.least(F.floor((v - F.col("__lo")) * m / width), m - 1).cast("bigint")
+    # NULL order values sort first in the windows, so they get a chunk before all others
+    chunk = F.when(v.isNull(), F.lit(-1)).otherwise(
+        F.least(F.floor((v - F.col("__lo")) * m / width), m - 1)).cast("bigint")
     return df.join(stats, key, "inner").withColumn(CHUNK, chunk).drop("__lo", "__hi", "__n")
 
 

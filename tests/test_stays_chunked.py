@@ -78,3 +78,19 @@ def test_each_step_chunked_equals_plain(spark, upto):
     key = lambda r: tuple((v is None, v) for v in r)
     assert sorted((tuple(r[c] for c in cols) for r in chunked.collect()), key=key) == \
         sorted((tuple(r[c] for c in cols) for r in plain.collect()), key=key)
+
+
+def test_null_sequence_numbers(spark):
+    from datetime import datetime as dt
+    rows = [(1, None, 1, "In", "PICU", dt(2020, 1, 1, 8)),
+            (1, 1, 2, "Out", "PICU", dt(2020, 1, 1, 9)),
+            (1, 2, 3, "In", "CICU", dt(2020, 1, 1, 9)),
+            (1, 3, 4, "Out", "CICU", dt(2020, 1, 1, 12)),
+            (1, None, 5, "In", "OTHER", dt(2020, 1, 1, 7))]
+    df = spark.createDataFrame(rows, "enc long, seq long, event_id long, dir string, "
+                                     "dept_grp string, effective_time timestamp_ntz")
+    order = ["seq", "dir", "event_id"]
+    plain = build_stays(df, "enc", order, "dept_grp", "dir", "effective_time")
+    chunked = build_stays(df, "enc", order, "dept_grp", "dir", "effective_time",
+                          hot_threshold=0, chunk_rows=1)
+    assert _rows(chunked) == _rows(plain)
