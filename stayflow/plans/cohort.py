@@ -14,7 +14,8 @@ Plan shape: the seed is a broadcast join against the unit configuration, the
 expansion a left-semi join on the encounter key, and the stay windows share ONE
 hash exchange on the encounter. Encounters with more ADT rows than
 ``cfg.hot_encounter_events`` are reconstructed in bounded chunks instead
-(``operators.stays_chunked``), so no task holds a whole giant encounter. Descriptive lookups (patient names, department,
+(``operators.stays_chunked``), so no task holds a whole giant encounter. The seeded
+encounters' events are materialised once and read by every later step. Descriptive lookups (patient names, department,
 room, disposition, sex) are joined to the stays rather than to every event: the
 lookup keys are unique, so the result is the same and far fewer rows are joined.
 """
@@ -31,6 +32,7 @@ from stayflow.operators.joins import (
 from stayflow.operators.stays import build_stays, hot_keys
 from stayflow.sources.catalog import SourceCatalog
 from stayflow.sources.config import StudyConfig, units_frame
+from stayflow.sources.sinks import materialize
 
 # Event type and subtype names used by the reference.
 IN_TYPES = ["Admission", "Transfer In"]
@@ -100,12 +102,13 @@ def all_encounters(src: SourceCatalog, cfg: StudyConfig | None = None) -> DataFr
     cfg = (cfg or StudyConfig()).validate()
     if cfg.check_lookup_keys:
         check_lookup_keys(src)
-    ev = cohort_events(src, cfg)
+    # the seeded encounters' events (a small part of the ADT log) are written once:
+    # hot-encounter detection, the lookup key set and the stay windows all read that
+    # file instead of re-scanning the log, and lineage is cut before the windows
+    ev = materialize(cohort_events(src, cfg), "cohort-events")
     hot = None
     if cfg.hot_encounter_events is not None:
-        # detected on the raw key column: one cheap, map-side-combined count
-        hot = hot_keys(src.table("CLARITY_ADT").select("PAT_ENC_CSN_ID"), "PAT_ENC_CSN_ID",
-                       cfg.hot_encounter_events)
+        hot = hot_keys(ev.select("PAT_ENC_CSN_ID"), "PAT_ENC_CSN_ID", cfg.hot_encounter_events)
     stays = build_stays(
         ev, "PAT_ENC_CSN_ID", ["SEQ_NUM_IN_ENC", "EVENT_DIR", "EVENT_ID", "DEPT_GRP"],
         "DEPT_GRP", "EVENT_DIR", "EFFECTIVE_TIME", bridge_groups=cfg.bridge_groups,
