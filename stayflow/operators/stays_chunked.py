@@ -2,8 +2,8 @@
 
 The plain plan (``stays.build_stays``) windows over whole encounters, so one
 encounter is processed by one task. Here a hot encounter is cut into chunks of
-about ``chunk_rows`` consecutive events (equal-width ranges of the leading order
-column, from one min/max/count aggregate), every neighbour lookup runs inside a
+about ``chunk_rows`` consecutive events (ranges of the event order placed by Spark's
+sampling range partitioner, see ``assign_chunks``), every neighbour lookup runs inside a
 (encounter, chunk) window, and the rows at chunk edges take their neighbour from
 the adjacent non-empty chunk through a small per-chunk summary (first and last row,
 found with map-side-combined min_by / max_by). Hospital bounds come from one
@@ -16,39 +16,37 @@ recompute from that file, and no window chain is evaluated twice.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, TimestampNTZType, TimestampType
 
-from stayflow.functions.expr import _micros_since_origin, year_of
+from stayflow.functions.expr import year_of
 from stayflow.sources.sinks import materialize
 
 IN, OUT = "In", "Out"
 CHUNK = "__chunk"
 
 
-def _as_number(df: DataFrame, col: str) -> Column:
-    """A monotone numeric image of an order column (zone-free for timestamps)."""
-    dt = df.schema[col].dataType
-    if isinstance(dt, (TimestampNTZType, TimestampType, DateType)):
-        return _micros_since_origin(col).cast("double")
-    return F.col(col).cast("double")
+def assign_chunks(df: DataFrame, key: str, order: Sequence[str], chunk_rows: int,
+                  rows_per_task: int = 2_000_000) -> DataFrame:
+    """Add __chunk: contiguous runs of about ``chunk_rows`` rows in (key, order) order,
+    numbered in that order (NULLs first, as in the windows).
 
-
-def assign_chunks(df: DataFrame, key: str, lead_col: str, chunk_rows: int) -> DataFrame:
-    """Add __chunk: equal-width ranges of ``lead_col`` within each key, about
-    ``chunk_rows`` rows each; chunk order follows ``lead_col`` order."""
-    v = _as_number(df, lead_col)
-    stats = df.groupBy(key).agg(F.min(v).alias("__lo"), F.max(v).alias("__hi"),
-                                F.count(F.lit(1)).alias("__n"))
-    m = F.ceil(F.col("__n") / F.lit(chunk_rows)).cast("double")
-    width = F.col("__hi") - F.col("__lo") + F.lit(1.0)
-    # NULL order values sort first in the windows, so they get a chunk before all others
-    chunk = F.when(v.isNull(), F.lit(-1)).otherwise(
-        F.least(F.floor((v - F.col("__lo")) * m / width), m - 1)).cast("bigint")
-    return df.join(stats, key, "inner").withColumn(CHUNK, chunk).drop("__lo", "__hi", "__n")
+    Spark's range partitioner samples the data to place range boundaries, so ranges
+    of about ``rows_per_task`` rows follow the data (a burst of events is split like
+    any other stretch) and a giant key spans many ranges. The range number is
+    written out at once so it stays fixed if tasks are re-run; rows are then numbered
+    inside their range (one bounded task each) and cut into chunks.
+    """
+    parts = max(1, math.ceil(df.count() / max(chunk_rows, rows_per_task)))
+    ranged = materialize(
+        df.repartitionByRange(parts, F.col(key), *[F.col(c) for c in order])
+        .withColumn("__range", F.spark_partition_id().cast("bigint")), "stays-ranges")
+    w = Window.partitionBy("__range").orderBy(F.col(key), *[F.col(c) for c in order])
+    local = F.floor((F.row_number().over(w) - 1) / F.lit(chunk_rows)).cast("bigint")
+    return ranged.withColumn(CHUNK, F.col("__range") * F.lit(1 << 32) + local).drop("__range")
 
 
 def _neighbors(df: DataFrame, key: str, order: Sequence[str], cols: Sequence[str],
@@ -95,7 +93,7 @@ def build_stays_chunked(events: DataFrame, key: str, order: Sequence[str], group
     events = events.join(bounds, key, "inner")
     if upto == "bounds":
         return events
-    ev = assign_chunks(events, key, order[0], chunk_rows)
+    ev = assign_chunks(events, key, order, chunk_rows)
 
     # bridges: adjacent In -> Out pair inside a bridge group
     b = _neighbors(ev, key, order, [group, direction], prev=True, nxt=True)
