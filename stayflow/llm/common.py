@@ -2,17 +2,22 @@
 
 from __future__ import annotations
 
+import os
 import re
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import stayflow
 from stayflow.sources.sinks import materialize
 
-__all__ = ["table", "materialize", "words", "map_arrow", "tokenizer_path", "bounded_batches",
-           "partitions_for"]
+__all__ = ["table", "materialize", "words", "map_arrow", "group_arrow", "tokenizer_path",
+           "bounded_batches", "partitions_for", "id_text", "ship"]
 
 #: White space of the word contracts: space and U+0009 to U+000D.
 WORD = re.compile(r"[^ \t-\r]+")
@@ -54,10 +59,35 @@ def bounded_batches(batches: Iterator[pa.RecordBatch], text: int, most: int = 8
             yield batch.slice(at, rows)
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors' Python, once per application (it need not be
+    installed there, and module-level tables stay with a worker from task to task)."""
+    context = spark.sparkContext
+    if context.applicationId not in _SHIPPED:
+        root = Path(stayflow.__file__).parent
+        path = os.path.join(tempfile.mkdtemp(prefix="stayflow-py-"), "stayflow.zip")
+        with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+            for f in sorted(root.rglob("*.py")):
+                z.write(f, str(Path(root.name, f.relative_to(root))))
+        context.addPyFile(path)
+        _SHIPPED.add(context.applicationId)
+
+
 def map_arrow(df: DataFrame, fn: Callable, schema: str) -> DataFrame:
+    """``fn`` over the Arrow batches of each partition."""
+    ship(df.sparkSession)
     return df.mapInArrow(fn, schema)
 
 
+def group_arrow(df: DataFrame, keys: list[str], fn: Callable, schema) -> DataFrame:
+    """``fn`` over the Arrow table of each group; groups must be of bounded size."""
+    ship(df.sparkSession)
+    return df.groupBy(*keys).applyInArrow(fn, schema)
+
+
 def partitions_for(spark: SparkSession, rows: int, rows_each: int) -> int:
     """Partitions that keep each at about ``rows_each`` rows, never fewer than configured."""
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // rows_each), 1)

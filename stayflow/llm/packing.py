@@ -22,8 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stayflow.llm.common import (bounded_batches, id_text, map_arrow, materialize, table,
-                                 tokenizer_path)
+from stayflow.llm.common import (bounded_batches, group_arrow, id_text, map_arrow, materialize,
+                                 table, tokenizer_path)
 
 MODEL = "word_bpe_49k.json"
 #: Words kept per worker before the table starts afresh; longer words are never kept.
@@ -173,10 +173,9 @@ def pack(pieces: DataFrame, length: int = 2048, group: int = GROUP) -> DataFrame
                 .append_column("offset", pa.array(offsets)))
 
     # dealt by a hash of the piece, so that the same pieces always meet
-    packed = (pieces.filter(short)
-              .withColumn("part", F.pmod(F.xxhash64("doc_id", "piece", "start", "ids_crc32"),
-                                         F.lit(groups)))
-              .groupBy("part").applyInArrow(run, full.schema))
+    dealt = pieces.filter(short).withColumn(
+        "part", F.pmod(F.xxhash64("doc_id", "piece", "start", "ids_crc32"), F.lit(groups)))
+    packed = group_arrow(dealt, ["part"], run, full.schema)
     return packed.unionByName(full)
 
 

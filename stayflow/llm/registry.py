@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from stayflow.llm import exact_dedup, packing, token_counts
+from stayflow.llm import (exact_dedup, jaccard_join, packing, personal_data, quality_rules,
+                          token_counts)
 
 QUERIES = {
     "op3_token_counts": token_counts.op3_token_counts,
     "op6_best_fit_packing": packing.op6_best_fit_packing,
+    "op7_personal_data": personal_data.op7_personal_data,
+    "op8_jaccard_join": jaccard_join.op8_jaccard_join,
     "op9_exact_dedup": exact_dedup.op9_exact_dedup,
+    "op10_quality_rules": quality_rules.op10_quality_rules,
 }
 
 ORACLE = {
