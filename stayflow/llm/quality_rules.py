@@ -41,7 +41,7 @@ UNIT, STEPS = 65_536, 256
 #: A band reaches this many spreads (inter-quartile ranges, at least LEAST bits, so that many
 #: copies of one text cannot close it) beyond the quartiles. A text may also cost ODD bits more
 #: or less in all, which lets short texts and texts with a foreign quotation pass.
-REACH, LEAST, ODD = 3.0, 0.05, 1200.0
+REACH, LEAST, ODD = 2.0, 0.05, 900.0
 
 
 # ---------------------------------------------------------------- counting rules
