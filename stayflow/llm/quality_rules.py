@@ -8,8 +8,9 @@ does not depend on batches). Hashes lie below ``SLOTS``, so an array has at most
 entries however large the corpus is: that bounds what is broadcast (64-bit counts never are).
 N-grams that share a hash share the smaller cost.
 
-A document's bits per character are compared with its language's band: quartiles of all
-documents that pass the counting rules, widened by ``reach`` spreads on both sides, and
+A text's bits per character are those of the middle half of its blocks of ``BLOCK``
+characters by cost, so that a quotation in another language or a table does not decide. They
+are compared with the language's band: quartiles of all documents that pass the counting rules, widened by ``reach`` spreads on both sides, and
 further for short texts, whose mean is less certain.
 
 Defined results: null or empty text has no words and fails; a null language is a language of
@@ -36,12 +37,15 @@ LANGUAGE_STEP = 7_919
 #: Stands before and after each text.
 MARK = "\U0010ffff"
 SYMBOLS = "#*$%&|<>"
+#: Characters in a block; a quarter of a text's blocks is left out at either end.
+BLOCK = 64
 #: Costs are in bits / UNIT; bands are found on steps of bits / STEPS.
 UNIT, STEPS = 65_536, 256
 #: A band reaches this many spreads (inter-quartile ranges, at least LEAST bits, so that many
-#: copies of one text cannot close it) beyond the quartiles. A text may also cost ODD bits more
-#: or less in all, which lets short texts and texts with a foreign quotation pass.
-REACH, LEAST, ODD = 2.0, 0.05, 900.0
+#: copies of one text cannot close it) beyond the quartiles. In texts below LONG characters a
+#: quotation can fill the middle blocks: they may cost ODD bits more or less in all, falling to
+#: none at LONG.
+REACH, LEAST, ODD, LONG = 2.5, 0.05, 700.0, 2500
 
 
 # ---------------------------------------------------------------- counting rules
@@ -257,11 +261,25 @@ def fit(docs: DataFrame) -> CharacterModel:
     return CharacterModel(arrays, int(max(arrays[1][1], default=20 * UNIT)) + UNIT)
 
 
+def middle(total: np.ndarray) -> tuple[int, int]:
+    """Cost and characters of the middle half of a text's blocks; ``total`` has the cost of
+    the first 0, 1, ... n characters."""
+    n = len(total) - 1
+    edges = np.append(np.arange(0, n, BLOCK), n)
+    cost, size = np.diff(total[edges]), np.diff(edges)
+    out = len(size) // 4
+    if out:
+        mid = np.argsort(cost * BLOCK // size, kind="stable")[out:-out]
+        cost, size = cost[mid], size[mid]
+    return int(cost.sum()), int(size.sum())
+
+
 def score(docs: DataFrame, model: CharacterModel) -> DataFrame:
-    """The counting rules, n_chars and cost (whole text, in bits / UNIT) of every row."""
+    """The counting rules, n_chars, and of the middle blocks cost (in bits / UNIT) and
+    characters, of every row."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     ints = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-            "n_chars", "cost"]
+            "n_chars", "cost", "cost_chars"]
 
     def run(batches):
         model = shared.value
@@ -278,7 +296,8 @@ def score(docs: DataFrame, model: CharacterModel) -> DataFrame:
                 total = np.concatenate([[0], np.cumsum(cost)])
                 n = rows[mine, 5]
                 start = np.concatenate([[0], np.cumsum(n + 2)[:-1]])
-                rows[mine, 6] = total[start + n] - total[start]
+                for i, a, k in zip(mine, start.tolist(), n.tolist()):
+                    rows[i, 6:] = middle(total[a:a + k + 1])
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), *map(pa.array, rows.T.copy())],
                 ["doc_id", "lang", *ints])
@@ -292,7 +311,7 @@ def score(docs: DataFrame, model: CharacterModel) -> DataFrame:
 def bands(scored: DataFrame, reach: float = REACH) -> DataFrame:
     """lang, low, high: the band of bits per character of each language, from the quartiles
     of its documents that pass the counting rules."""
-    step = F.floor(F.col("cost") * STEPS / UNIT / F.col("n_chars")).alias("step")
+    step = F.floor(F.col("cost") * STEPS / UNIT / F.col("cost_chars")).alias("step")
     counts = (scored.filter(~F.col("base_failed") & (F.col("n_chars") > 0))
               .groupBy("lang", step).agg(F.count(F.lit(1)).alias("n")))
     own = Window.partitionBy("lang")
@@ -319,14 +338,14 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                        F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     failed = F.expr("n_words < 10 or 100 * n_repeat_words > 20 * n_words")
     scored = materialize(score(docs, fit(docs)).withColumn("base_failed", failed), "scored")
-    bits = F.when(F.col("n_chars") > 0, F.col("cost") / UNIT / F.col("n_chars"))
-    slack = odd / F.greatest(F.col("n_chars"), F.lit(1))
+    bits = F.when(F.col("n_chars") > 0, F.col("cost") / UNIT / F.col("cost_chars"))
+    slack = odd * F.greatest(1 / F.greatest(F.col("n_chars"), F.lit(1)) - 1 / LONG, F.lit(0.0))
     inside = (F.col("bits_per_char") >= F.col("low") - slack) & (
         F.col("bits_per_char") <= F.col("high") + slack)
     return (scored.withColumn("bits_per_char", bits)
             .join(bands(scored, reach), "lang", "left")
             .withColumn("kept", ~F.col("base_failed") & F.coalesce(inside, F.lit(False)))
-            .drop("cost"))
+            .drop("cost", "cost_chars"))
 
 
 def op10_quality_rules(spark, sf_dir: str) -> DataFrame:
