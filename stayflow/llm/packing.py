@@ -15,7 +15,9 @@ A null id is kept as null.
 from __future__ import annotations
 
 import os
+import re
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -24,43 +26,67 @@ from pyspark.sql import functions as F
 
 from stayflow.llm.common import (bounded_batches, group_arrow, id_text, map_arrow, materialize,
                                  table, tokenizer_path)
+from stayflow.llm.token_counts import byte_letters
 
 MODEL = "word_bpe_49k.json"
-#: Words kept per worker before the table starts afresh; longer words are never kept.
-KEPT_WORDS, KEPT_LENGTH = 700_000, 40
+#: Units and words kept per worker before a table starts afresh; longer ones are never kept.
+KEPT_UNITS, KEPT_WORDS, KEPT_LENGTH = 300_000, 600_000, 40
+#: A unit of letters whose lower case is one letter in the same place, and closing marks: the
+#: vocabulary's model then needs neither normaliser nor pre-tokenizer.
+_PLAIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00de\u00e0-\u00f6\u00f8-\u00fe]+)([.,;:!?]*)")
 #: Pieces in a packing group, on average.
 GROUP = 20_000
 
 
 class WordIds(dict):
-    """word -> its ids as little-endian unsigned 32-bit bytes."""
+    """unit (text between spaces or line feeds) -> ids, as little-endian 32-bit bytes."""
 
     def __init__(self, path: str):
         super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks already use the cores
         from tokenizers import Tokenizer
 
-        self.model = Tokenizer.from_file(path)
-        self[""] = b""
-
-    def ids(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text. The vocabulary drops white space and no token spans it, so a
-        text's ids are those of its words; words are cut at spaces and line feeds alone."""
-        cut = [t.replace("\n", " ").split(" ") for t in texts]
-        if len(self) >= KEPT_WORDS:
+        self.whole = Tokenizer.from_file(path)
+        self.model = self.whole.model
+        self.letters = byte_letters()
+        self.words: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+
+    def word(self, word: str) -> bytes:
+        """The ids of one pre-tokenized word, from two generations of kept words."""
+        ids = self.older.get(word)
+        if ids is None:
+            spelt = word if word.isascii() else "".join([self.letters[b] for b in word.encode()])
+            ids = array("I", [t.id for t in self.model.tokenize(spelt)]).tobytes()
+        if len(word) <= KEPT_LENGTH:
+            if len(self.words) >= KEPT_WORDS:
+                self.words, self.older = {}, self.words
+            self.words[word] = ids
+        return ids
+
+    def __missing__(self, unit: str) -> bytes:
+        plain = _PLAIN.fullmatch(unit)
+        if plain:
+            word, end = plain.groups()
+            word = word.lower()
+            ids, seen = self.words.get(word), True
+            if ids is None:
+                ids, seen = self.word(word), False
+            if end:
+                ids += self.words.get(end) or self.word(end)
+        else:
+            found = self.whole.encode(unit, add_special_tokens=False).ids if unit else ()
+            ids, seen = array("I", found).tobytes(), True
+        if seen and len(unit) <= KEPT_LENGTH:
+            self[unit] = ids
+        return ids
+
+    def ids(self, text: str) -> bytes:
+        """The vocabulary drops white space and no token spans it, so a text's ids are those
+        of its units."""
+        if len(self) >= KEPT_UNITS:
             self.clear()
-            self[""] = b""
-        missing = list({w for ws in cut for w in ws if w not in self})
-        for at in range(0, len(missing), 20_000):
-            some = missing[at:at + 20_000]
-            for word, found in zip(some, self.model.encode_batch_fast(
-                    some, add_special_tokens=False)):
-                self[word] = np.array(found.ids, dtype="<u4").tobytes()
-        out = [b"".join(map(self.__getitem__, ws)) for ws in cut]
-        for word in missing:
-            if len(word) > KEPT_LENGTH:
-                del self[word]
-        return out
+        return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
 
 
 _WORDS: dict[str, WordIds] = {}
@@ -81,9 +107,8 @@ def token_pieces(docs: DataFrame, path: str | None = None, length: int = 2048,
             _WORDS[path] = WordIds(path)
         for batch in bounded_batches(batches, 1, 4 << 20):
             cols = [[] for _ in names]
-            docs_ids = batch.column(0).to_pylist()
-            for doc, ids in zip(docs_ids, _WORDS[path].ids(batch.column(1).to_pylist())):
-                ids += end
+            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                ids = _WORDS[path].ids(text) + end
                 for piece, at in enumerate(range(0, len(ids), step)):
                     part = ids[at:at + step]
                     row = (doc, piece, at // 4, len(part) // 4, zlib.crc32(part), part)
