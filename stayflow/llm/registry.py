@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from stayflow.llm import (exact_dedup, jaccard_join, packing, personal_data, quality_rules,
-                          token_counts)
+from stayflow.llm import (chat_format, exact_dedup, jaccard_join, packing, personal_data,
+                          quality_rules, token_counts, warc)
 
 QUERIES = {
+    "op2_chat_format": chat_format.op2_chat_format,
     "op3_token_counts": token_counts.op3_token_counts,
+    "op5_warc_derivatives": warc.op5_warc_derivatives,
     "op6_best_fit_packing": packing.op6_best_fit_packing,
     "op7_personal_data": personal_data.op7_personal_data,
     "op8_jaccard_join": jaccard_join.op8_jaccard_join,
@@ -15,5 +17,6 @@ QUERIES = {
 }
 
 ORACLE = {
+    "op2_chat_format": chat_format.ORACLE,
     "op9_exact_dedup": exact_dedup.ORACLE,
 }
