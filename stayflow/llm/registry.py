@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from stayflow.llm import (chat_format, exact_dedup, jaccard_join, packing, personal_data,
-                          quality_rules, token_counts, warc)
+                          quality_rules, sentence_pieces, token_counts, warc)
 
 QUERIES = {
+    "op1_sentence_pieces": sentence_pieces.op1_sentence_pieces,
     "op2_chat_format": chat_format.op2_chat_format,
     "op3_token_counts": token_counts.op3_token_counts,
     "op5_warc_derivatives": warc.op5_warc_derivatives,
