@@ -1,21 +1,106 @@
-"""The corpus pipeline: stages over ``documents``, each written and read again by the next.
+"""The corpus pipeline: quality rules, exact duplicates, near duplicates, personal data and
+packing over ``documents``.
 
-Every function takes (spark, docs, sf_dir) and returns a DataFrame.
+Every stage takes (spark, docs, sf_dir) and returns a DataFrame, which the next one reads
+again from Parquet. All but the last return the columns of their input.
+
+Defined results: rows without an id are judged and kept like others, except that the Jaccard
+join, which names groups by id, leaves them in. Repeated rows are exact duplicates; one stays.
+An empty table passes through. Columns beyond those of ``documents`` are kept as they are.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from stayflow.llm.common import materialize, table
+from stayflow.llm.exact_dedup import exact_dedup
+from stayflow.llm.jaccard_join import Similarity, jaccard_classes
+from stayflow.llm.packing import best_fit_packing
+from stayflow.llm.personal_data import personal_data, sanitise
+from stayflow.llm.quality_rules import quality_rules
+
+#: Near duplicates share 80 of 100 shingles of five words.
+NEAR = Similarity(words=5, part=80, of=100)
+#: Keys up to which a list of rows to drop is sent to every executor (8 bytes each), so that
+#: the texts need not move; a longer one is joined by a shuffle.
+SENT_KEYS = 1_000_000
+
+
+def _free_name(docs: DataFrame) -> str:
+    name = "row_key"
+    while name in docs.columns:
+        name += "_"
+    return name
+
+
+def _without(docs: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """``docs`` without the rows whose ``key`` is in ``keys`` (one column of that name)."""
+    keys = materialize(keys.distinct(), "dropped")
+    if keys.count() <= SENT_KEYS:
+        keys = F.broadcast(keys)
+    return docs.join(keys, key, "left_anti")
+
+
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the counting rules and their language's perplexity band accept."""
+    key = _free_name(docs)
+    keyed = docs.withColumn(key, F.xxhash64("doc_id", "lang", "text"))
+    bad = quality_rules(keyed, id_col=key).filter(~F.col("kept")).select(F.col("doc_id").alias(key))
+    return _without(keyed, bad, key).select(docs.columns)
+
+
+def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each set of equal texts."""
+    key = _free_name(docs)
+    keyed = docs.withColumn(key, F.xxhash64("doc_id", "text"))
+    found = materialize(exact_dedup(docs, with_key=True).select("kept", F.col("key").alias(key)),
+                        "exact-verdicts")
+    stay = found.filter("kept").select(key)
+    gone = found.filter(~F.col("kept")).select(key)
+    rest = _without(keyed, gone.join(stay, key, "left_anti"), key)
+    twice = materialize(gone.join(stay, key, "left_semi").distinct(), "repeated-rows")
+    if not twice.isEmpty():  # repeats of a row that stays
+        rest = rest.join(twice, key, "left_anti").unionByName(
+            rest.join(twice, key, "left_semi").dropDuplicates([key]))
+    return rest.select(docs.columns)
+
+
+def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of each group of near duplicates."""
+    found = jaccard_classes(docs, NEAR)
+    gone = found.filter(F.col("component_id") != F.col("doc_id")).select("doc_id")
+    return _without(docs, gone, "doc_id").select(docs.columns)
+
+
+def personal_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with personal data replaced and telling terms generalised or removed."""
+    found = personal_data(docs, keep=docs.columns)
+    clean = F.when(F.col("kept.text").isNull(), F.lit(None)).otherwise(sanitise(found))
+    return found.select(*(clean.alias(c) if c == "text" else F.col(f"kept.`{c}`").alias(c)
+                          for c in docs.columns))
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents' pieces and their places in sequences of 2048 tokens."""
+    return best_fit_packing(docs)
+
 
-STAGES: list = []
+STAGES = [
+    ("quality_rules", quality_stage),
+    ("exact_dedup", exact_stage),
+    ("jaccard_join", near_stage),
+    ("personal_data", personal_stage),
+    ("best_fit_packing", packing_stage),
+]
 
-#: The tokenizing last stage has no SQL form.
+#: Tokenizing, near duplicates and the perplexity model have no SQL form.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the whole ``documents`` table."""
     docs = table(spark, sf_dir, "documents")
     for at, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)

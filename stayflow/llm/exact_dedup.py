@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stayflow.llm.common import id_text, materialize, table
+from stayflow.llm.common import materialize, table
 
 #: Deleted before texts are compared: space and U+0009 to U+000D.
 WHITE = r"[\x20\x09-\x0D]+"
@@ -37,14 +37,15 @@ def _best() -> Column:
 
 def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row of digests per document, with the run (input partition) that it came from."""
-    text = id_text(docs, id_col, text_col)
+    text = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("raw"),
+                       F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     norm = F.regexp_replace("text", WHITE, "")
     return text.select(
-        "doc_id", F.length("text").alias("n_orig"), norm.alias("norm"),
+        "doc_id", F.xxhash64("doc_id", F.col("raw")).alias("key"), F.length("text").alias("n_orig"), norm.alias("norm"),
         F.spark_partition_id().alias("run"),
         F.monotonically_increasing_id().alias("row"),
     ).select(
-        "doc_id", "n_orig", "run", "row", F.unhex(F.sha2("norm", 256)).alias("sha"),
+        "doc_id", "key", "n_orig", "run", "row", F.unhex(F.sha2("norm", 256)).alias("sha"),
         F.xxhash64("norm").alias("second"), F.length("norm").alias("n_norm"))
 
 
@@ -74,14 +75,15 @@ def merge_runs(rows: DataFrame, fan: int = FAN) -> DataFrame:
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                fan: int = FAN) -> DataFrame:
-    """doc_id, keep_id, group_size, kept, text_sha256 for every row of ``docs``."""
+                fan: int = FAN, with_key: bool = False) -> DataFrame:
+    """doc_id, keep_id, group_size, kept, text_sha256 for every row of ``docs`` (and ``key``,
+    xxhash64 of id and text, by which a caller finds the row again)."""
     rows = materialize(digests(docs, id_col, text_col), "digests")
     merged = merge_runs(rows, fan).select(*_KEY, "best", "n")
     return rows.join(merged, _KEY).select(
         "doc_id", (-F.col("best.neg_id")).alias("keep_id"), F.col("n").alias("group_size"),
         (F.col("row") == -F.col("best.neg_row")).alias("kept"),
-        F.lower(F.hex("sha")).alias("text_sha256"))
+        F.lower(F.hex("sha")).alias("text_sha256"), *["key"] * with_key)
 
 
 def op9_exact_dedup(spark, sf_dir: str) -> DataFrame:

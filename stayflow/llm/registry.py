@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from stayflow.llm import (chat_format, exact_dedup, jaccard_join, packing, personal_data,
+from stayflow.llm import (chat_format, exact_dedup, jaccard_join, lm_scoring, packing, personal_data,
                           quality_rules, sentence_pieces, token_counts, warc)
 
 QUERIES = {
     "op1_sentence_pieces": sentence_pieces.op1_sentence_pieces,
     "op2_chat_format": chat_format.op2_chat_format,
     "op3_token_counts": token_counts.op3_token_counts,
+    "op4_lm_scoring": lm_scoring.op4_lm_scoring,
     "op5_warc_derivatives": warc.op5_warc_derivatives,
     "op6_best_fit_packing": packing.op6_best_fit_packing,
     "op7_personal_data": personal_data.op7_personal_data,
