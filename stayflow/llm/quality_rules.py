@@ -32,8 +32,8 @@ from stayflow.llm.common import bounded_batches, map_arrow, materialize, table,
 
 #: Hashes are smaller than this prime, and so is the number of entries of an array.
 SLOTS = 16_777_213
-#: Multiplies a language's checksum into the hash.
-LANGUAGE_STEP = 7_919
+#: Multiply a language's checksum and the characters (from the last back) in the hash.
+LANGUAGE_STEP, STEPS_BACK = 7_919, (12_345_701, 5_915_587, 9_176_263)
 #: Stands before and after each text.
 MARK = "\U0010ffff"
 SYMBOLS = "#*$%&|<>"
@@ -174,8 +174,8 @@ def _cost(p: Column) -> Column:
 
 def _slot(lang: str, *codes: str):
     key = F.lit(0).cast("long")
-    for c in codes:
-        key = key * (1 << 21) + F.col(c)
+    for c, step in zip(reversed(codes), STEPS_BACK):
+        key = key + F.col(c) * step
     shift = F.pmod(F.crc32(F.encode(F.col(lang), "utf-8")), F.lit(SLOTS)) * LANGUAGE_STEP
     return F.pmod(F.pmod(key, F.lit(SLOTS)) + shift, F.lit(SLOTS)).cast("int")
 
@@ -188,10 +188,12 @@ class CharacterModel:
     arrays: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]
     unknown: int
 
-    def _find(self, order: int, lang: str, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def _find(self, lang: str, *codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places in the arrays of the n-grams of ``codes``, and whether they are there."""
+        key = sum(c * step for c, step in zip(reversed(codes), STEPS_BACK))
         shift = zlib.crc32(lang.encode("utf-8", "surrogatepass")) % SLOTS * LANGUAGE_STEP
         slots = ((key % SLOTS + shift) % SLOTS).astype(np.int32)
-        known = self.arrays[order][0]
+        known = self.arrays[len(codes)][0]
         at = np.searchsorted(known, slots)
         if len(known):
             np.minimum(at, len(known) - 1, out=at)
@@ -200,18 +202,18 @@ class CharacterModel:
 
     def costs(self, lang: str, codes: np.ndarray) -> np.ndarray:
         """Cost of each of codes[2:] after the two codes before it."""
-        at, hit = self._find(3, lang, _trigrams(codes))
+        at, hit = self._find(lang, codes[:-2], codes[1:-1], codes[2:])
         if not len(self.arrays[3][0]):
             return np.full(len(codes) - 2, self.unknown, np.int64)
         out = self.arrays[3][1][at].astype(np.int64)
         miss = np.flatnonzero(~hit)
         if len(miss):
             a, b, c = codes[miss], codes[miss + 1], codes[miss + 2]
-            at, there = self._find(2, lang, a << 21 | b)
+            at, there = self._find(lang, a, b)
             cost = np.where(there, self.arrays[2][2][at], 0).astype(np.int64)
-            at, two = self._find(2, lang, b << 21 | c)
-            ctx, there = self._find(1, lang, b)
-            one, known = self._find(1, lang, c)
+            at, two = self._find(lang, b, c)
+            ctx, there = self._find(lang, b)
+            one, known = self._find(lang, c)
             cost += np.where(two, self.arrays[2][1][at],
                              np.where(there, self.arrays[1][2][ctx], 0)
                              + np.where(known, self.arrays[1][1][one], self.unknown))
@@ -239,10 +241,11 @@ def fit(docs: DataFrame) -> CharacterModel:
     three = p3.select(_slot("lang", "c1", "c2", "c3").alias("slot"),
                       _cost(F.col("p3")).alias("cost"), F.lit(0).alias("back"))
     left3 = left3.select("lang", F.col("c1").alias("c2"), F.col("c2").alias("c3"), "back")
-    two = p2.join(left3, ["lang", "c2", "c3"], "left").select(
+    # contexts at the start of a text are no n-grams: they have a back-off cost alone
+    two = p2.join(left3, ["lang", "c2", "c3"], "full").select(
         _slot("lang", "c2", "c3").alias("slot"), _cost(F.col("p2")).alias("cost"),
         F.coalesce(_cost(F.col("back")), F.lit(0)).alias("back"))
-    one = p1.join(left2.withColumnRenamed("c2", "c3"), ["lang", "c3"], "left").select(
+    one = p1.join(left2.withColumnRenamed("c2", "c3"), ["lang", "c3"], "full").select(
         _slot("lang", "c3").alias("slot"), _cost(F.col("p1")).alias("cost"),
         F.coalesce(_cost(F.col("back")), F.lit(0)).alias("back"))
 
@@ -251,7 +254,7 @@ def fit(docs: DataFrame) -> CharacterModel:
                                                 ).unionByName(one.select(F.lit(1).alias("order"), "*"))
     # at most SLOTS rows for each order
     got = every.groupBy("order", "slot").agg(
-        F.min("cost").alias("cost"), F.min("back").alias("back")).toArrow()
+        F.coalesce(F.min("cost"), F.lit(0)).alias("cost"), F.min("back").alias("back")).toArrow()
     order, slot, cost, back = (got.column(c).to_numpy() for c in ("order", "slot", "cost", "back"))
     arrays = {}
     for k in (3, 2, 1):
