@@ -188,6 +188,10 @@ def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                 "terms", F.array().cast("array<struct<start:bigint,end:bigint,remove:boolean>>"))))
 
 
+def _of_kind(number: int):
+    return lambda s: s["kind"] == number
+
+
 def _written(spans: Column) -> Column:
     names = F.array(*map(F.lit, KINDS))
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(
@@ -222,7 +226,7 @@ def sanitise(found: DataFrame) -> Column:
 
 def digest_columns(found: DataFrame) -> DataFrame:
     """The contract's columns of a result of ``personal_data``."""
-    counts = [F.size(F.filter("base", lambda s, n=n: s["kind"] == n)).cast("long").alias(f"n_{k}")
+    counts = [F.size(F.filter("base", _of_kind(n))).cast("long").alias(f"n_{k}")
               for n, k in enumerate(KINDS)]
     base = _written(F.col("base"))
     terms = F.array_join(F.transform("terms", lambda t: F.concat_ws(
