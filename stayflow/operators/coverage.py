@@ -9,8 +9,6 @@ from pyspark.sql import functions as F
 from stayflow.functions.expr import typed_null
 from stayflow.operators.linkage import LINK_COLUMNS
 
-MATCH_PREFIX = ["ORIG_MED_ID", "CLARITY_NAME", "proxyMedID", "componentMedID",
-                "productionMedID"]
 VIA = ["proxyMedID", "componentMedID", "productionMedID"]
 
 
@@ -79,9 +77,10 @@ def coverage_summary(meds: DataFrame, matches: DataFrame) -> DataFrame:
     counts = flagged.agg(
         F.count(F.lit(1)).alias("a"),
         F.count(F.when(unmatched, F.lit(1))).alias("b"),
-        F.sum("__n").alias("c"),
+        F.coalesce(F.sum("__n"), F.lit(0)).alias("c"),
         F.coalesce(F.sum(F.when(unmatched & F.col("medID").isNotNull(), F.col("__n"))),
                    F.lit(0)).alias("d"))
+    # fixed values: the four descriptions
     return counts.select(F.expr(
         "stack(4, 'All Unique Principle Med IDs', a, 'Unique Unmatched Principle Med IDs', b, "
         "'All Med Admins', c, 'Unmatched Med Admins', d) AS (DESCRIP, CNT)"))

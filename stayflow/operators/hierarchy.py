@@ -1,20 +1,24 @@
 """Fixed-depth expansion of a medication into its related medication ids.
 
-Three one-to-many edge tables relate a principal medication to ingredients,
-mixture components and production drugs. The expansion keeps the principal itself
-and follows, to a fixed depth of two:
+One edge table holds every one-to-many relation of a medication (ingredient, mixture
+component, production drug), tagged by kind. A list of allowed paths of one or two kinds
+says what is followed, and which columns of the result a path fills:
 
-  principal -> ingredient -> ingredient
-  principal -> component  -> ingredient   (keeps the component id and type)
-  principal -> production -> component    (keeps the production id)
+  principal -> ingredient | component | production
+  principal -> ingredient -> ingredient       (the last ingredient)
+  principal -> component  -> ingredient       (keeps the component id and type)
+  principal -> production -> component        (keeps the production id)
 
-Depth is deliberately not recursive. Every step is an inner equi-join on small,
-catalog-sized edge tables; the union is de-duplicated once.
+Depth is deliberately not recursive. The edges are catalog-sized; all paths of a length are
+followed by one join, and the rows are de-duplicated once.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from dataclasses import dataclass
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stayflow.functions.expr import typed_null
@@ -24,13 +28,41 @@ HIERARCHY_COLUMNS = ["medID", "proxyMedID", "componentMedID", "productionMedID",
                      "line", "componentType"]
 
 
-def _shape(df: DataFrame, id_type: str, line_type: str, **cols) -> DataFrame:
-    """Project to the hierarchy layout, NULL (typed) for columns not given."""
-    types = {"medID": id_type, "proxyMedID": id_type, "componentMedID": id_type,
-             "productionMedID": id_type, "line": line_type, "componentType": "string"}
-    return df.select(*[
-        (cols[c] if c in cols else typed_null(types[c])).cast(types[c]).alias(c)
-        for c in HIERARCHY_COLUMNS])
+@dataclass(frozen=True)
+class EdgeSpec:
+    """A relation: its table's source and target columns, and the output column of targets."""
+
+    kind: str
+    source: str
+    target: str
+    output: str
+    typed: bool = False     # carries a component type
+
+
+EDGES = (EdgeSpec("ingredient", "MEDICATION_ID", "INGRED_ID", "proxyMedID"),
+         EdgeSpec("component", "MEDICATION_ID", "DRUG_ID", "componentMedID", typed=True),
+         EdgeSpec("production", "MEDICATION_ID", "DRUG_PRODUCTION_ID", "productionMedID"))
+
+#: Second steps allowed after a first one, and whether the first target stays in the result.
+SECOND = {("ingredient", "ingredient"): False, ("component", "ingredient"): True,
+          ("production", "component"): True}
+
+
+def edge_table(tables: dict[str, DataFrame], component_types: DataFrame | None,
+               id_type: str, line_type: str) -> DataFrame:
+    """kind, source, target, line, type of every relation of ``EDGES``."""
+    rows = []
+    for e in EDGES:
+        df = tables[e.kind]
+        name = typed_null("string")
+        if e.typed and component_types is not None:
+            df = lookup(df, component_types, {"TYPE_C": "DISP_CTYPE_C"}, {"NAME": "__type"})
+            name = F.col("__type")
+        rows.append(df.select(
+            F.lit(e.kind).alias("kind"), F.col(e.source).cast(id_type).alias("source"),
+            F.col(e.target).cast(id_type).alias("target"), F.col("LINE").cast(line_type).alias("line"),
+            name.alias("type")))
+    return reduce(DataFrame.unionByName, rows)
 
 
 def expand_hierarchy(principal: DataFrame, ingredients: DataFrame, components: DataFrame,
@@ -43,53 +75,37 @@ def expand_hierarchy(principal: DataFrame, ingredients: DataFrame, components: D
     components:      MEDICATION_ID, DRUG_ID, LINE, TYPE_C
     productions:     MEDICATION_ID, DRUG_PRODUCTION_ID, LINE
     component_types: DISP_CTYPE_C, NAME
+
+    The line is the last step's; the type is that of the component on the path.
     """
-    med = principal.select("medID").distinct()
-    ingred = ingredients.select(F.col("MEDICATION_ID").alias("__src"),
-                                F.col("INGRED_ID").alias("__ingred"),
-                                F.col("LINE").alias("__iline"))
-    comp = components.select(F.col("MEDICATION_ID").alias("__src"),
-                             F.col("DRUG_ID").alias("__drug"),
-                             F.col("LINE").alias("__cline"), F.col("TYPE_C").alias("__ctype"))
-    if component_types is not None:
-        comp = lookup(comp, component_types, {"__ctype": "DISP_CTYPE_C"},
-                      {"NAME": "__ctype_name"})
-    else:
-        comp = comp.withColumn("__ctype_name", typed_null("string"))
-    prod = productions.select(F.col("MEDICATION_ID").alias("__src"),
-                              F.col("DRUG_PRODUCTION_ID").alias("__prod"),
-                              F.col("LINE").alias("__pline"))
-
-    def step(left: DataFrame, left_key: str, edges: DataFrame) -> DataFrame:
-        return left.join(edges, F.col(left_key) == F.col("__src"), "inner").drop("__src")
-
-    med_ingred = step(med, "medID", ingred)
-    med_comp = step(med, "medID", comp)
-    med_prod = step(med, "medID", prod)
-    prod_comps = step(med_prod.select("medID", "__prod"), "__prod", comp)
-    comp_ingreds = step(med_comp.select("medID", "__drug", "__ctype_name"), "__drug", ingred)
-    ingred_ingreds = step(med_ingred.select("medID", F.col("__ingred").alias("__first")),
-                          "__first", ingred)
-
-    s = lambda df, **c: _shape(df, id_type, line_type, **c)
+    edges = edge_table({"ingredient": ingredients, "component": components,
+                        "production": productions}, component_types, id_type, line_type)
+    med = principal.select(F.col("medID").cast(id_type).alias("medID")).distinct()
+    one = med.join(edges.select(F.col("source").alias("medID"), F.col("kind").alias("k1"),
+                                F.col("target").alias("t1"), "line", "type"), "medID")
+    allowed = F.array(*[F.concat_ws(">", F.lit(a), F.lit(b)) for a, b in SECOND])
+    two = one.drop("line").join(
+        edges.select(F.col("source").alias("t1"), F.col("kind").alias("k2"),
+                     F.col("target").alias("t2"), "line", F.col("type").alias("type2")), "t1")
+    two = two.filter(F.array_contains(allowed, F.concat_ws(">", "k1", "k2")))
+
+    def placed(steps: list[tuple[Column, Column, Column]]) -> list[Column]:
+        """The output columns: a target goes to its kind's column if its step is kept."""
+        out = []
+        for e in EDGES:
+            hits = [F.when(keep & (kind == e.kind), target) for kind, target, keep in steps]
+            out.append(F.coalesce(*hits).cast(id_type).alias(e.output))
+        return out
+
+    stays = F.concat_ws(">", "k1", "k2").isin([f"{a}>{b}" for (a, b), keep in SECOND.items() if keep])
+    every = F.lit(True)
+    none = typed_null(id_type)
     branches = [
-        s(med, medID=F.col("medID")),
-        s(med_ingred, medID=F.col("medID"), proxyMedID=F.col("__ingred"),
-          line=F.col("__iline")),
-        s(med_comp, medID=F.col("medID"), componentMedID=F.col("__drug"),
-          line=F.col("__cline"), componentType=F.col("__ctype_name")),
-        s(med_prod, medID=F.col("medID"), productionMedID=F.col("__prod"),
-          line=F.col("__pline")),
-        s(prod_comps, medID=F.col("medID"), componentMedID=F.col("__drug"),
-          productionMedID=F.col("__prod"), line=F.col("__cline"),
-          componentType=F.col("__ctype_name")),
-        s(comp_ingreds, medID=F.col("medID"), proxyMedID=F.col("__ingred"),
-          componentMedID=F.col("__drug"), line=F.col("__iline"),
-          componentType=F.col("__ctype_name")),
-        s(ingred_ingreds, medID=F.col("medID"), proxyMedID=F.col("__ingred"),
-          line=F.col("__iline")),
+        med.select("medID", *[none.alias(e.output) for e in EDGES],
+                   typed_null(line_type).alias("line"), typed_null("string").alias("componentType")),
+        one.select("medID", *placed([(F.col("k1"), F.col("t1"), every)]), "line",
+                   F.col("type").alias("componentType")),
+        two.select("medID", *placed([(F.col("k1"), F.col("t1"), stays), (F.col("k2"), F.col("t2"), every)]),
+                   "line", F.coalesce("type2", "type").alias("componentType")),
     ]
-    out = branches[0]
-    for b in branches[1:]:
-        out = out.unionByName(b)
-    return out.distinct()
+    return reduce(DataFrame.unionByName, branches).select(*HIERARCHY_COLUMNS).distinct()

@@ -116,12 +116,14 @@ def classify(events: DataFrame, units: DataFrame, dept_col: str,
              out_col: str = "DEPT_GRP", default: str = "OTHER") -> DataFrame:
     """Label each event with its unit group, ``default`` when not configured.
 
-    Open/close dates are ignored here (as in the reference); a department listed
-    under two groups yields one row per group.
+    Open/close dates are ignored here; a department listed twice under one group (closed
+    and opened again) labels its events once, one listed under two groups yields one row
+    per group.
     """
     key_type = events.schema[dept_col].dataType
     u = F.broadcast(units.select(F.col("dpt_id").cast(key_type).alias("__unit_id"),
-                                 F.col("dpt_grp").alias("__unit_grp")))
+                                 F.col("dpt_grp").alias("__unit_grp"))
+                    .coalesce(1).distinct())  # a handful of rows: no exchange
     joined = events.join(u, F.col(dept_col) == F.col("__unit_id"), "left")
     return (joined.withColumn(out_col, F.coalesce(F.col("__unit_grp"), F.lit(default)))
             .drop("__unit_id", "__unit_grp"))

@@ -36,21 +36,11 @@ def link_rows(df: DataFrame, nomenclature: str, *, med: str, code: Column,
     )
 
 
-def class_links(ids: DataFrame, master: DataFrame, class_col: str, category: DataFrame,
-                category_key: str, nomenclature: str, id_col: str = "MEDICATION_ID") -> DataFrame:
-    """ids -> medication master -> category: code = category INTERNAL_ID, name = NAME."""
-    m = master.select(F.col("MEDICATION_ID").alias("__mid"), F.col(class_col).alias("__cls"))
-    cat = category.select(F.col(category_key).alias("__cls"), F.col("INTERNAL_ID").alias("__iid"),
-                          F.col("NAME").alias("__cname"))
-    j = (ids.join(m, F.col(id_col) == F.col("__mid"), "inner")
-         .join(cat, "__cls", "inner"))
-    return link_rows(j, nomenclature, med=id_col, code=F.col("__iid"), name=F.col("__cname"))
-
-
 def class_links_shared(ids: DataFrame, master: DataFrame,
                        specs: Sequence[tuple[str, str, DataFrame, str]],
                        id_col: str = "MEDICATION_ID") -> DataFrame:
-    """Several ``class_links`` branches with ONE join of ids to the medication master.
+    """ids -> medication master -> category (code = its INTERNAL_ID, name = its NAME) for
+    several class columns, with ONE join of ids to the medication master.
 
     ``specs`` are (nomenclature, master class column, category table, category key).
     The class columns are stacked into (nomenclature, class code) rows and joined to

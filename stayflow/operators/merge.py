@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,12 +23,21 @@ def tagged_union(branches: Mapping[str, DataFrame], tag_col: str = "SOURCE") ->
     return out
 
 
-def union_all(*frames: DataFrame) -> DataFrame:
-    """UNION ALL by column name."""
-    out = frames[0]
-    for df in frames[1:]:
-        out = out.unionByName(df)
-    return out
+def tagged_rows(df: DataFrame, branches: Mapping[str, Mapping[str, Column]],
+                where: Mapping[str, Column] | None = None, keep: Sequence[str] = (),
+                tag_col: str = "SOURCE") -> DataFrame:
+    """``tagged_union`` of projections of one frame, which is read only once: every row
+    becomes an array of tagged structs (of the branches whose ``where`` holds), exploded.
+
+    All branches give the same column names and types; ``keep`` are columns of ``df``
+    carried along.
+    """
+    where = where or {}
+    made = [F.when(where.get(tag, F.lit(True)),
+                   F.struct(F.lit(tag).alias(tag_col), *[c.alias(n) for n, c in cols.items()]))
+            for tag, cols in branches.items()]
+    rows = F.explode(F.filter(F.array(*made), lambda x: x.isNotNull())).alias("__row")
+    return df.select(*keep, rows).select(*keep, "__row.*")
 
 
 def listagg_sorted(value: str, sep: str = "|") -> Column:

@@ -133,11 +133,12 @@ def stay_steps(events: DataFrame, key: str, order: Sequence[str], group: str,
     if hot is None and hot_threshold is not None:
         hot = hot_keys(events, key, hot_threshold)
     if hot is not None and not hot.isEmpty():
-        from stayflow.operators.joins import exclude, restrict_to
         from stayflow.operators.stays_chunked import build_stays_chunked
-        cold = _plain_steps(exclude(events, hot, key), key, order, group, direction, time,
-                            bridge_groups, outside_groups, upto)
-        big = build_stays_chunked(restrict_to(events, hot, key), key, list(order), group,
+        # null-safe: the NULL key can be the largest group
+        match = events[key].eqNullSafe(hot[key])
+        cold = _plain_steps(events.join(hot, match, "left_anti"), key, order, group, direction,
+                            time, bridge_groups, outside_groups, upto)
+        big = build_stays_chunked(events.join(hot, match, "left_semi"), key, list(order), group,
                                   direction, time, chunk_rows, bridge_groups, outside_groups,
                                   upto)
         return cold.unionByName(big.select(*cold.columns))
@@ -146,10 +147,12 @@ def stay_steps(events: DataFrame, key: str, order: Sequence[str], group: str,
 
 
 def hot_keys(events: DataFrame, key: str, threshold: int) -> DataFrame:
-    """Keys with more than ``threshold`` rows (a map-side-combined count). At most
-    rows / threshold keys exist, so the result is small by construction."""
-    return (events.groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
-            .filter(F.col("__n") > threshold).select(key))
+    """Keys with more than ``threshold`` rows (a map-side-combined count), the NULL key
+    included. At most rows / threshold keys exist, so the result is small by construction;
+    it is written out, so that asking whether there are any and using them counts once."""
+    from stayflow.sources.sinks import materialize
+    return materialize(events.groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
+                       .filter(F.col("__n") > threshold).select(key), "hot-keys")
 
 
 def build_stays(events: DataFrame, key, order: Sequence[str | Column], group: str,

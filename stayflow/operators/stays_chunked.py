@@ -66,7 +66,9 @@ def _neighbors(df: DataFrame, key: str, order: Sequence[str], cols: Sequence[str
     if nxt:
         edges["__next_edge"] = F.lead("__first").over(ws)
     summ = summ.select(key, CHUNK, *[v.alias(k) for k, v in edges.items()])
-    out = df.join(summ, [key, CHUNK], "left")
+    summ = summ.withColumnsRenamed({key: "__key", CHUNK: "__key_chunk"})
+    out = df.join(summ, df[key].eqNullSafe(summ["__key"]) & (df[CHUNK] == summ["__key_chunk"]),
+                  "left").drop("__key", "__key_chunk")
     new = {}
     if prev:
         new["__prev"] = F.coalesce(F.lag(row).over(w), F.col("__prev_edge"))
@@ -89,8 +91,10 @@ def build_stays_chunked(events: DataFrame, key: str, order: Sequence[str], group
     rank = F.struct(*[F.col(c) for c in order])
     bounds = events.groupBy(key).agg(F.min_by(F.col(time), rank).alias("HOSP_ADMIT_DT"),
                                      F.max_by(F.col(time), rank).alias("HOSP_DC_DT"))
-    # one row per hot encounter: joined on the key (broadcast by its small size)
-    events = events.join(bounds, key, "inner")
+    # one row per hot encounter: joined on the key (broadcast by its small size); null-safe,
+    # as a window keeps the rows of a NULL key
+    bounds = bounds.withColumnRenamed(key, "__key")
+    events = events.join(bounds, events[key].eqNullSafe(bounds["__key"]), "inner").drop("__key")
     if upto == "bounds":
         return events
     ev = assign_chunks(events, key, order, chunk_rows)

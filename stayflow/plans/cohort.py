@@ -3,8 +3,8 @@
 1. seed: Admission / Transfer In events into a configured (non-bridge) unit while it
    was open, strictly inside the study window, subtype not Canceled (a NULL
    subtype is dropped too, as ``NOT IN`` drops it);
-2. every Admission / Transfer In / Transfer Out / Discharge event (not Canceled) of
-   the seeded encounters, with its direction and unit group ('OTHER' when the
+2. every distinct Admission / Transfer In / Transfer Out / Discharge event (not Canceled)
+   of the seeded encounters, with its direction and unit group ('OTHER' when the
    department is not configured; open/close dates ignored);
 3-6. stay reconstruction (``operators.stays.build_stays``);
 7. stays starting strictly inside the window and lasting >= 0.5 h, with patient,
@@ -77,7 +77,10 @@ def cohort_events(src: SourceCatalog, cfg: StudyConfig) -> DataFrame:
                    & ~F.col("EVENT_SUB_TYPE").isin(CANCELED))
     ev = ev.withColumn("EVENT_DIR", F.when(F.col("EVENT_TYPE").isin(IN_TYPES), F.lit("In"))
                        .when(F.col("EVENT_TYPE").isin(OUT_TYPES), F.lit("Out")))
-    return classify(ev, units_frame(src.spark, cfg.units), "DEPARTMENT_ID")
+    ev = classify(ev, units_frame(src.spark, cfg.units), "DEPARTMENT_ID")
+    # event rows are compared by type and subtype names, not codes; dealt by encounter
+    # first, so that collapsing repeated rows and the stay windows share one exchange
+    return ev.drop("EVENT_TYPE_C", "EVENT_SUBTYPE_C").repartition("PAT_ENC_CSN_ID").distinct()
 
 
 # lookup tables of the cohort plan and their keys (checked by check_lookup_keys)
@@ -97,9 +100,9 @@ def check_lookup_keys(src: SourceCatalog) -> None:
         raise ValueError(f"duplicate lookup keys would duplicate stays: {bad}")
 
 
-def all_encounters(src: SourceCatalog, cfg: StudyConfig | None = None) -> DataFrame:
+def all_encounters(src: SourceCatalog, cfg: StudyConfig) -> DataFrame:
     """One row per ICU stay, 22 columns (COHORT_COLUMNS)."""
-    cfg = (cfg or StudyConfig()).validate()
+    cfg = cfg.validate()
     if cfg.check_lookup_keys:
         check_lookup_keys(src)
     # the seeded encounters' events (a small part of the ADT log) are written once:

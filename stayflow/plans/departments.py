@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from stayflow.functions.expr import status_ok
 from stayflow.operators.joins import restrict_to, within_interval
 from stayflow.sources.catalog import SourceCatalog
+from stayflow.sources.sinks import materialize
 
 ACTIVE_STATUS = ["1"]
 
@@ -96,18 +97,30 @@ def network_departments(src: SourceCatalog, seed_names: Sequence[str],
 def flowsheet_catalog(src: SourceCatalog, cohort: DataFrame) -> DataFrame:
     """Flowsheet measurement ids recorded inside any ICU stay of the cohort, with
     their (binary-order) minimum names and occurrence counts, most frequent first.
-    A measurement inside two overlapping stays counts twice."""
+    A measurement inside two overlapping stays counts twice.
+
+    Starts from the cohort: its encounters, their flowsheet records (written out, so that
+    the planner knows their size), then the measurements of those records alone. Counts
+    are by id; names are looked up for the few ids counted."""
+    keys = cohort.select("PAT_ENC_CSN_ID").distinct()
+    enc = restrict_to(src.table("PAT_ENC_HSP").select("INPATIENT_DATA_ID", "PAT_ENC_CSN_ID"),
+                      keys, "PAT_ENC_CSN_ID")
+    rec = materialize(src.table("IP_FLWSHT_REC").select("FSD_ID", "INPATIENT_DATA_ID").join(
+        enc, "INPATIENT_DATA_ID", "inner").select("FSD_ID", "PAT_ENC_CSN_ID"),
+        "flowsheet-records")
     meas = src.table("IP_FLWSHT_MEAS").select("FSD_ID", "FLO_MEAS_ID", "RECORDED_TIME")
-    rec = src.table("IP_FLWSHT_REC").select("FSD_ID", "INPATIENT_DATA_ID")
-    enc = src.table("PAT_ENC_HSP").select("INPATIENT_DATA_ID", "PAT_ENC_CSN_ID")
-    flo = src.table("IP_FLO_GP_DATA").select("FLO_MEAS_ID", "FLO_MEAS_NAME", "DISP_NAME")
-    m = meas.join(rec, "FSD_ID", "inner").join(enc, "INPATIENT_DATA_ID", "inner")
     stays = cohort.select(F.col("PAT_ENC_CSN_ID").alias("__csn"), "ICU_IN_DT", "ICU_OUT_DT")
-    inside = within_interval(m, stays, {"PAT_ENC_CSN_ID": "__csn"}, "RECORDED_TIME",
-                             "ICU_IN_DT", "ICU_OUT_DT")
-    inside = inside.join(flo, "FLO_MEAS_ID", "left")
+    inside = within_interval(meas.join(rec, "FSD_ID", "inner"), stays,
+                             {"PAT_ENC_CSN_ID": "__csn"}, "RECORDED_TIME", "ICU_IN_DT",
+                             "ICU_OUT_DT")
+    counts = inside.groupBy("FLO_MEAS_ID").agg(F.count(F.lit(1)).alias("__n"))
     name: Column = F.collate(F.col("FLO_MEAS_NAME"), "UTF8_BINARY")
-    return (inside.groupBy("FLO_MEAS_ID")
-            .agg(F.min(name).alias("FLO_MEAS_NAME"), F.min("DISP_NAME").alias("DisplayName"),
-                 F.count("FLO_MEAS_ID").alias("OCCURANCES"))
+    names = (src.table("IP_FLO_GP_DATA").groupBy("FLO_MEAS_ID")
+             .agg(F.min(name).alias("FLO_MEAS_NAME"), F.min("DISP_NAME").alias("DisplayName"),
+                  F.count(F.lit(1)).alias("__rows")))
+    # an id described by several rows counts once for each, an unset id never
+    return (counts.join(names, "FLO_MEAS_ID", "left")
+            .select("FLO_MEAS_ID", "FLO_MEAS_NAME", "DisplayName",
+                    F.when(F.col("FLO_MEAS_ID").isNull(), F.lit(0)).otherwise(
+                        F.col("__n") * F.coalesce("__rows", F.lit(1))).alias("OCCURANCES"))
             .orderBy(F.desc("OCCURANCES")))

@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stayflow.functions.expr import boundary_diff, day_diff, typed_null, year_of
+from stayflow.functions.expr import boundary_diff, day_diff, flag, typed_null, year_of
 from stayflow.operators.joins import key_set, lookup, reduce_dimension, restrict_to
 from stayflow.operators.merge import listagg_sorted, tagged_union
 from stayflow.sources.catalog import SourceCatalog
@@ -55,9 +55,7 @@ def hospital(src: SourceCatalog, cohort: DataFrame) -> DataFrame:
                         "ETHNICITY")
     c = cohort.join(race, "PAT_ID", "left").join(eth, "PAT_ID", "left")
     disp, out_dt, dc = F.col("DISCH_DISP_C"), F.col("ICU_OUT_DT"), F.col("HOSP_DC_DT")
-    died_after_unit = (F.when(disp != DEATH, F.lit("0"))
-                       .when((disp == DEATH) & (out_dt < dc), F.lit("1"))
-                       .otherwise(F.lit("0")))
+    died_after_unit = flag((disp == DEATH) & (out_dt < dc))
     g = c.groupBy("PAT_ID", "PAT_ENC_CSN_ID").agg(
         F.min("SEX").alias("sex"),
         F.min("BIRTH_DATE").alias("BIRTH_DATE"),
@@ -81,10 +79,7 @@ def hospital(src: SourceCatalog, cohort: DataFrame) -> DataFrame:
 def icu(cohort: DataFrame) -> DataFrame:
     """One row per ICU stay, times relative to hospital admission."""
     disp = F.col("DISCH_DISP_C")
-    died_in_unit = (F.when(disp != DEATH, F.lit("0"))
-                    .when((disp == DEATH) & (F.col("ICU_OUT_DT") == F.col("HOSP_DC_DT")),
-                          F.lit("1"))
-                    .otherwise(F.lit("0")))
+    died_in_unit = flag((disp == DEATH) & (F.col("ICU_OUT_DT") == F.col("HOSP_DC_DT")))
     return cohort.select(
         F.col("PAT_ID").alias("pid"), F.col("EVENT_ID").alias("eid"),
         F.col("PAT_ENC_CSN_ID").alias("hid"), F.col("DEPT_GRP").alias("icu"),
@@ -112,15 +107,19 @@ def diagnoses(src: SourceCatalog, cohort: DataFrame) -> DataFrame:
     four diagnosis sources, restricted to cohort encounters."""
     keys = _cohort_keys(cohort)
     enc_dx = restrict_to(src.table("PAT_ENC_DX"), keys, "PAT_ENC_CSN_ID")
-    prob = restrict_to(src.table("PAT_ENC_HOSP_PROB"), keys, "PAT_ENC_CSN_ID")
+    # the cohort's rows of these facts are written once, and read for their keys and again
+    # for the lookups
+    prob = materialize(restrict_to(src.table("PAT_ENC_HOSP_PROB").select(
+        "PAT_ENC_CSN_ID", "PROBLEM_LIST_ID", "PRINCIPAL_PROB_YN"), keys, "PAT_ENC_CSN_ID"),
+        "cohort-problems")
     problems = reduce_dimension(src.table("PROBLEM_LIST"),
                                 key_set(prob, ["PROBLEM_LIST_ID"], "problem-ids"),
                                 "PROBLEM_LIST_ID")
     prob = lookup(prob, problems, "PROBLEM_LIST_ID",
                   {"NOTED_DATE": "NOTED_DATE", "RESOLVED_DATE": "RESOLVED_DATE",
                    "DX_ID": "DX_ID"})
-    bill = restrict_to(src.table("PAT_ENC").select("PAT_ENC_CSN_ID", "HSP_ACCOUNT_ID"), keys,
-                       "PAT_ENC_CSN_ID")
+    bill = materialize(restrict_to(src.table("PAT_ENC").select(
+        "PAT_ENC_CSN_ID", "HSP_ACCOUNT_ID"), keys, "PAT_ENC_CSN_ID"), "cohort-accounts")
     accounts = key_set(bill, ["HSP_ACCOUNT_ID"], "account-ids")
     bill = lookup(bill, reduce_dimension(src.table("HSP_ACCOUNT"), accounts, "HSP_ACCOUNT_ID"),
                   "HSP_ACCOUNT_ID",
@@ -175,9 +174,9 @@ def conditions(src: SourceCatalog, cohort: DataFrame) -> DataFrame:
 
 def labs(src: SourceCatalog, cohort: DataFrame) -> DataFrame:
     """One row per lab result component of a cohort encounter."""
-    res = restrict_to(src.table("ORDER_RESULTS").select(
+    res = materialize(restrict_to(src.table("ORDER_RESULTS").select(
         "ORDER_PROC_ID", "PAT_ENC_CSN_ID", "COMPONENT_ID", "COMPON_LNC_ID", "RESULT_TIME",
-        "ORD_VALUE"), _cohort_keys(cohort), "PAT_ENC_CSN_ID")
+        "ORD_VALUE"), _cohort_keys(cohort), "PAT_ENC_CSN_ID"), "cohort-results")
     orders = key_set(res, ["ORDER_PROC_ID"], "lab-order-ids")
     x = lookup(res, reduce_dimension(src.table("ORDER_PROC"), orders, "ORDER_PROC_ID"),
                "ORDER_PROC_ID", {"ORDER_PROC_ID": "__op_id", "ORDER_TIME": "ORDER_TIME"})
@@ -195,8 +194,8 @@ def labs(src: SourceCatalog, cohort: DataFrame) -> DataFrame:
     lnc, comp = F.col("LNC_CODE"), F.col("LOINC_CODE")
     return x.select(
         F.col("PAT_ID").alias("pid"), F.col("PAT_ENC_CSN_ID").alias("hid"),
-        F.when(lnc.isNotNull(), F.lit(LOINC_LABEL)).when(comp.isNotNull(), F.lit(LOINC_LABEL))
-        .otherwise(F.lit(COMPONENT_LABEL)).alias("nomenclature"),
+        F.when(F.coalesce(lnc, comp).isNull(), F.lit(COMPONENT_LABEL))
+        .otherwise(F.lit(LOINC_LABEL)).alias("nomenclature"),
         F.coalesce(lnc, comp, F.col("__comp_id").cast("string")).alias("code"),
         F.coalesce(F.col("LNC_FULL_NAM"), F.col("__comp_name")).alias("NAME"),
         "HOSP_ADMIT_DT", F.col("SPECIMN_TAKEN_TIME").alias("sampleTime"),

@@ -26,13 +26,16 @@ RXNORM_LABEL = "RXNORM CODE"        # fixed values of the legacy extract
 MEDICATION_ID_LABEL = "MEDICATION ID"
 
 
-def _cohort_orders(src: SourceCatalog, cohort: DataFrame) -> DataFrame:
-    """Orders of cohort encounters, materialised: the administration table (the
-    largest input) is then joined to a relation whose real size the planner knows,
-    i.e. broadcast into its scan when small enough."""
+def cohort_orders(src: SourceCatalog, cohort: DataFrame) -> DataFrame:
+    """The used columns of the orders of cohort encounters, materialised once for both
+    administration extracts: the administration table (the largest input) is then joined
+    to a relation whose real size the planner knows, i.e. broadcast into its scan when
+    small enough."""
+    orders = src.table("ORDER_MED").select(
+        "ORDER_MED_ID", "PAT_ID", "PAT_ENC_CSN_ID", "MEDICATION_ID", "DESCRIPTION",
+        "DISPLAY_NAME", "ORDER_STATUS_C")
     keys = cohort.select("PAT_ENC_CSN_ID").distinct()
-    return materialize(restrict_to(src.table("ORDER_MED"), keys, "PAT_ENC_CSN_ID"),
-                       "cohort-orders")
+    return materialize(restrict_to(orders, keys, "PAT_ENC_CSN_ID"), "cohort-orders")
 
 
 def _order_info(src: SourceCatalog, orders: DataFrame) -> DataFrame:
@@ -63,9 +66,11 @@ def _unit_lookups(x: DataFrame, src: SourceCatalog, with_codes: bool) -> DataFra
     return x
 
 
-def medications(src: SourceCatalog, cohort: DataFrame) -> DataFrame:
-    """P9: administrations of cohort orders, 21 columns, NOT de-duplicated."""
-    orders = _cohort_orders(src, cohort)
+def medications(src: SourceCatalog, cohort: DataFrame, orders: DataFrame | None = None
+                ) -> DataFrame:
+    """P9: administrations of cohort orders, 21 columns, NOT de-duplicated. ``orders``:
+    the result of ``cohort_orders``, if there is one already."""
+    orders = cohort_orders(src, cohort) if orders is None else orders
     om = orders.select(
         F.col("ORDER_MED_ID").alias("__om"), "PAT_ID", "PAT_ENC_CSN_ID", "DISPLAY_NAME")
     mar = src.table("MAR_ADMIN_INFO")
@@ -99,10 +104,11 @@ def rxnorm_pick(src: SourceCatalog) -> DataFrame:
                 F.lit(RXNORM_LABEL).alias("nomenclature"))
 
 
-def medications_v1(src: SourceCatalog, cohort: DataFrame) -> DataFrame:
+def medications_v1(src: SourceCatalog, cohort: DataFrame, orders: DataFrame | None = None
+                   ) -> DataFrame:
     """P8: the legacy wide administration extract (29 columns). Names and classes
     come from the dispensable medication, the code from the ordered one."""
-    orders = _cohort_orders(src, cohort)
+    orders = cohort_orders(src, cohort) if orders is None else orders
     om = orders.select(
         F.col("ORDER_MED_ID").alias("__om"), F.col("PAT_ENC_CSN_ID"), "MEDICATION_ID",
         "DESCRIPTION", "DISPLAY_NAME", "ORDER_STATUS_C")
@@ -214,10 +220,11 @@ def med_coverage_summary(meds: DataFrame, matches: DataFrame) -> DataFrame:
     return coverage_summary(meds, matches)
 
 
-def medication_chain(src: SourceCatalog, cohort: DataFrame) -> dict[str, DataFrame]:
+def medication_chain(src: SourceCatalog, cohort: DataFrame, orders: DataFrame | None = None
+                     ) -> dict[str, DataFrame]:
     """Run P9-P13, materialising the administrations (read by four consumers) and
     the catalog-sized hierarchy, links and matches."""
-    meds = materialize(medications(src, cohort), "meds")
+    meds = materialize(medications(src, cohort, orders), "meds")
     hierarchy = materialize(med_hierarchy(src, meds), "med_hierarchy")
     links = materialize(med_links(src, hierarchy), "med_links")
     matches = materialize(med_link_matches(src, meds, hierarchy, links), "med_matches")

@@ -12,31 +12,32 @@ from pyspark.sql import DataFrame
 from stayflow.plans.cohort import all_encounters
 from stayflow.plans.departments import flowsheet_catalog
 from stayflow.plans.extracts import conditions, hospital, icu, interventions, labs, vitals
-from stayflow.plans.medications import medication_chain, medications_v1
+from stayflow.plans.medications import cohort_orders, medication_chain, medications_v1
+from stayflow.session import run_folder
 from stayflow.sources.catalog import SourceCatalog
 from stayflow.sources.config import StudyConfig
 from stayflow.sources.sinks import materialize, write_extract
 
-# Extract file names used by the reference.
+# File names of the extracts, after the study's prefix.
 FILE_NAMES = {
-    "cohort": "PDC_All_Encounters",
-    "hospital": "PDC_HOSPITAL_TABLE",
-    "icu": "PDC_ICU_TABLE",
-    "conditions": "PDC_CONDITIONS_TABLE",
-    "labs": "PDC_LABS_TABLE",
-    "vitals": "PDC_VitalSigns",
-    "interventions": "PDC_Interventions",
-    "medications_v1": "PDC_Medications",
+    "cohort": "all_encounters",
+    "hospital": "hospital",
+    "icu": "icu",
+    "conditions": "conditions",
+    "labs": "labs",
+    "vitals": "vital_signs",
+    "interventions": "interventions",
+    "medications_v1": "medications_legacy",
     "medications": "medications",
     "med_hierarchy": "med_hierarchy",
     "med_links": "med_links",
 }
 
 
-def extracts(src: SourceCatalog, cfg: StudyConfig | None = None) -> dict[str, DataFrame]:
+def extracts(src: SourceCatalog, cfg: StudyConfig) -> dict[str, DataFrame]:
     """All extract DataFrames, keyed by name (the cohort is published first)."""
-    cfg = cfg or StudyConfig()
     cohort = materialize(all_encounters(src, cfg), "all_enc")
+    orders = cohort_orders(src, cohort)
     out = {
         "cohort": cohort,
         "hospital": hospital(src, cohort).orderBy("pid"),
@@ -45,17 +46,20 @@ def extracts(src: SourceCatalog, cfg: StudyConfig | None = None) -> dict[str, Da
         "labs": labs(src, cohort),
         "vitals": vitals(src, cohort, cfg),
         "interventions": interventions(src, cohort, cfg),
-        "medications_v1": medications_v1(src, cohort),
+        "medications_v1": medications_v1(src, cohort, orders),
         "flowsheet_catalog": flowsheet_catalog(src, cohort),
     }
-    out.update(medication_chain(src, cohort))
+    out.update(medication_chain(src, cohort, orders))
     return out
 
 
-def write_all(src: SourceCatalog, out_dir: str, cfg: StudyConfig | None = None,
+def write_all(src: SourceCatalog, out_dir: str, cfg: StudyConfig,
               fmt: str = "csv") -> dict[str, str]:
-    """Write every extract under ``out_dir``; returns name -> path."""
+    """Write every extract under ``out_dir``; returns name -> path. The run's intermediates
+    lie in a folder of their own, which is removed at the end."""
     paths = {}
-    for name, df in extracts(src, cfg).items():
-        paths[name] = write_extract(df, FILE_NAMES.get(name, name), out_dir, fmt=fmt)
+    with run_folder(src.spark):
+        for name, df in extracts(src, cfg).items():
+            file = cfg.file_prefix + FILE_NAMES.get(name, name)
+            paths[name] = write_extract(df, file, out_dir, fmt=fmt)
     return paths

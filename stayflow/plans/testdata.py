@@ -77,8 +77,6 @@ stays AS (
              AS DECIMAL(16, 6)) >= 0.5)"""
 
 
-STAY_COLUMNS = ["enc_id", "event_id", "DEPT_GRP", "effective_time", "HOSP_ADMIT_DT",
-                "HOSP_DC_DT", "ICU_IN_DT", "ICU_OUT_DT", "IN_YEAR", "ICU_LOS_HRS"]
 _STAY_SELECT_SQL = ("enc_id, event_id, DEPT_GRP, effective_time, HOSP_ADMIT_DT, HOSP_DC_DT, "
                     "VISIT_IN_DT AS ICU_IN_DT, OUT_DT AS ICU_OUT_DT, IN_YEAR, ICU_LOS_HRS")
 

@@ -9,8 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from stayflow.sources.config import MeasureId, UnitWindow
 
 # ---------------------------------------------------------------------------
-# Configuration used by the queries (fixed values, like the reference's
-# DECLARE blocks).
+# Configuration used by the queries.
 EVENT_UNITS = (
     UnitWindow("ICU_A", "view", date(2024, 1, 1), date(2024, 1, 20)),
     UnitWindow("ICU_B", "click", date(2024, 1, 5), date(2024, 2, 1)),
@@ -43,7 +42,7 @@ _READS: dict = {}
 def _read(spark: SparkSession, d: str, name: str) -> DataFrame:
     """The table as a DataFrame, built once per session and path (one footer read;
     the same plan object lets Spark reuse exchanges between query branches)."""
-    key = (id(spark), d, name)
+    key = (spark.sparkContext.applicationId, d, name)
     if key not in _READS:
         _READS[key] = spark.read.parquet(f"{d}/{name}.parquet")
     return _READS[key]

@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stayflow.functions.expr import boundary_diff, day_diff, ntz, typed_null, year_of
+from stayflow.functions.expr import boundary_diff, day_diff, flag, ntz, typed_null, year_of
 from stayflow.operators.joins import (
     classify, exclude, lookup, restrict_to, within_unit_window)
-from stayflow.operators.merge import listagg_sorted, tagged_union
+from stayflow.operators.merge import listagg_sorted, tagged_rows
 from stayflow.plans.testdata_common import (
     ORDER_UNITS, ORDER_WINDOW, SEGMENT_UNITS, _read, _ts, _units_sql)
 from stayflow.sources.config import units_frame
@@ -148,9 +148,7 @@ def q_hospital_style_rollup(spark, d):
         F.min(day_diff(od, ship)).alias("shipAge_Anonymized"),
         F.max(ship).alias("LAST_SHIP"),
         F.min(boundary_diff("SECOND", od, ship)).alias("shipSpan_Anonymized"),
-        F.max(F.when(rf != "R", F.lit("0"))
-              .when((rf == "R") & (ship < od), F.lit("1")).otherwise(F.lit("0")))
-        .alias("returnedEarly"),
+        F.max(flag((rf == "R") & (ship < od))).alias("returnedEarly"),
         F.min(year_of(od)).alias("yearOfOrder"))
     # Per-customer attributes are joined after the aggregate (one row per order
     # instead of per line); MIN over a per-customer constant is that constant.
@@ -182,22 +180,20 @@ def q_tagged_union_min(spark, d):
     o = _t(spark, d, "orders", "o_orderkey", "o_custkey", "o_orderdate")
     lo = li.join(o, li.l_orderkey == o.o_orderkey, "inner")
     lo = restrict_to(lo, seed, "o_custkey")
-    csn, ship, od = F.col("o_custkey").alias("CSN"), F.col("l_shipdate"), F.col("o_orderdate")
-
-    def branch(df, start, end, dx, primary):
-        return df.select(csn, start.alias("START_DT"), end.alias("END_DT"),
-                         dx.alias("DX_ID"), primary.alias("PRIMARY_YN"))
-
-    diags = tagged_union({
-        "SHIP": branch(lo, ship, ship, F.col("l_partkey"), F.nullif(F.col("l_linestatus"),
-                                                                    F.lit("O"))),
-        "ORDER": branch(lo, od, ship, F.col("l_partkey"), F.nullif(F.col("l_returnflag"),
-                                                                   F.lit("N"))),
-        "SUPPLY": branch(lo, od, typed_null("timestamp_ntz"), F.col("l_suppkey"),
-                         typed_null("string")),
-        "RETURN": branch(lo.filter(F.col("l_returnflag") == "R"), ship, ship,
-                         F.col("l_partkey"), F.nullif(F.col("l_returnflag"), F.lit("N"))),
-    })
+    ship, od, part, returned = (F.col(c) for c in ("l_shipdate", "o_orderdate", "l_partkey",
+                                                   "l_returnflag"))
+    not_n, never = F.nullif(returned, F.lit("N")), typed_null("timestamp_ntz")
+
+    def branch(start, end, dx, primary):
+        return {"START_DT": start, "END_DT": end, "DX_ID": dx, "PRIMARY_YN": primary}
+
+    # one pass over the joined lines: each makes its rows of all four sources
+    diags = tagged_rows(lo.withColumn("CSN", F.col("o_custkey")), {
+        "SHIP": branch(ship, ship, part, F.nullif(F.col("l_linestatus"), F.lit("O"))),
+        "ORDER": branch(od, ship, part, not_n),
+        "SUPPLY": branch(od, never, F.col("l_suppkey"), typed_null("string")),
+        "RETURN": branch(ship, ship, part, not_n),
+    }, where={"RETURN": returned == "R"}, keep=["CSN"])
     diags = lookup(diags, _read(spark, d, "part"), {"DX_ID": "p_partkey"},
                    {"p_name": "DX_NAME", "p_brand": "CURRENT_ICD10_LIST"})
     diags = diags.filter(F.col("DX_ID").isNotNull()).distinct()
@@ -335,9 +331,7 @@ SELECT o.o_custkey AS pid, o.o_orderkey AS hid, min(c.c_mktsegment) AS segment,
   max(l.l_shipdate) AS LAST_SHIP,
   min(date_diff('second', o.o_orderdate, l.l_shipdate)) AS shipSpan_Anonymized,
   min(p.PRIORITIES) AS PRIORITIES,
-  max(CASE WHEN l.l_returnflag <> 'R' THEN '0'
-           WHEN l.l_returnflag = 'R' AND l.l_shipdate < o.o_orderdate THEN '1'
-           ELSE '0' END) AS returnedEarly,
+  max(if(l.l_returnflag = 'R' AND l.l_shipdate < o.o_orderdate, '1', '0')) AS returnedEarly,
   min(year(o.o_orderdate)) AS yearOfOrder
 FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
 LEFT JOIN customer c ON c.c_custkey = o.o_custkey

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -47,16 +49,45 @@ def get_session(master: str | None = None, app_name: str = "stayflow",
     return spark
 
 
+_RUN_FOLDERS: dict[str, str] = {}
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for materialised intermediates.
 
-    Uses the cluster's ``spark.checkpoint.dir`` when set. Only when it is unset
-    (local runs, tests) a private folder under the system temp dir is created and
-    registered, so lineage can still be cut with ``DataFrame.checkpoint()``.
+    Uses the folder of the current run (:func:`run_folder`), else the cluster's
+    ``spark.checkpoint.dir``. Only where neither is set and Spark runs in this process
+    alone (local runs, tests) a private folder under the system temp dir is made; on a
+    cluster its executors could not see one another's files there, so that is an error.
     """
-    path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    context = spark.sparkContext
+    if context.applicationId in _RUN_FOLDERS:
+        return _RUN_FOLDERS[context.applicationId]
+    path = context.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if path:
         return path
+    if not re.fullmatch(r"local(\[.*\])?", context.master):
+        raise RuntimeError("intermediates need a folder that all executors share: set "
+                           "spark.checkpoint.dir or call setCheckpointDir")
     path = os.path.join(tempfile.gettempdir(), f"stayflow-ckpt-{uuid.uuid4().hex[:8]}")
-    spark.sparkContext.setCheckpointDir(path)
+    context.setCheckpointDir(path)
     return path
+
+
+@contextmanager
+def run_folder(spark: SparkSession):
+    """Intermediates made inside go to one folder of their own, removed at the end; what
+    still reads them must be written out before."""
+    context = spark.sparkContext
+    path = os.path.join(checkpoint_dir(spark), f"stayflow-run-{uuid.uuid4().hex[:12]}")
+    before = _RUN_FOLDERS.get(context.applicationId)
+    _RUN_FOLDERS[context.applicationId] = path
+    try:
+        yield path
+    finally:
+        if before is None:
+            del _RUN_FOLDERS[context.applicationId]
+        else:
+            _RUN_FOLDERS[context.applicationId] = before
+        folder = context._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)

@@ -8,10 +8,10 @@ registered DataFrames, a parquet directory (``<dir>/<NAME>.parquet`` or
 
 from __future__ import annotations
 
-import os
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,12 +25,14 @@ def normalize(name: str) -> str:
 class JdbcSource:
     """Caller-supplied JDBC connection. ``partitioning`` maps a table name to the
     ``partitionColumn/lowerBound/upperBound/numPartitions`` options so that big fact
-    tables are read by many tasks in parallel instead of one."""
+    tables are read by many tasks in parallel; only tables named in ``small_tables`` may be
+    read by a single one."""
 
     url: str
     properties: Mapping[str, str] = field(default_factory=dict)
     schema: str | None = None
     partitioning: Mapping[str, Mapping[str, str]] = field(default_factory=dict)
+    small_tables: frozenset[str] = frozenset()
 
 
 class SourceCatalog:
@@ -68,16 +70,20 @@ class SourceCatalog:
         if key in self._tables:
             return self._tables[key]
         if self.parquet_dir:
-            if "://" in self.parquet_dir:   # object store: use the canonical name
-                return self.spark.read.parquet(f"{self.parquet_dir.rstrip('/')}/{key}.parquet")
             for cand in (key, key.lower()):
-                for path in (os.path.join(self.parquet_dir, cand + ".parquet"),
-                             os.path.join(self.parquet_dir, cand)):
-                    if os.path.exists(path):
+                for path in (f"{self.parquet_dir.rstrip('/')}/{cand}.parquet",
+                             f"{self.parquet_dir.rstrip('/')}/{cand}"):
+                    try:  # Spark's file system decides, not this machine's
                         return self.spark.read.parquet(path)
+                    except AnalysisException as missing:
+                        if missing.getCondition() != "PATH_NOT_FOUND":
+                            raise
         if self.database:
             return self.spark.table(f"{self.database}.{key}")
         if self.jdbc:
+            if key not in self.jdbc.partitioning and key not in self.jdbc.small_tables:
+                raise ValueError(f"table {key} would be read by one task: give its partitioning "
+                                 "or name it in small_tables")
             options = {"url": self.jdbc.url,
                        "dbtable": f"{self.jdbc.schema}.{key}" if self.jdbc.schema else key,
                        **self.jdbc.properties, **self.jdbc.partitioning.get(key, {})}

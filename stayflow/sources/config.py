@@ -30,29 +30,21 @@ class MeasureId:
     display_name: str | None = None
 
 
-# The reference's sample configuration.
-SAMPLE_START = datetime(2011, 1, 1)
-SAMPLE_END = datetime(2021, 4, 11)
-SAMPLE_UNITS = (
-    UnitWindow("PCICU", "123456789", date(2011, 1, 1), date(2017, 10, 1), "4-2800"),
-    UnitWindow("PERIOP", "987654321", date(2011, 1, 1), date(2021, 4, 11), "CHGI"),
-)
-SAMPLE_MEASURE_IDS = (MeasureId("10", "PULSE OXIMETRY"), MeasureId("8", "PULSE"))
-SAMPLE_NETWORK_DEPARTMENTS = ("CH6S",)
-SAMPLE_DEPARTMENT_PATTERNS = ("%CH6%", "%CH7%")
-SAMPLE_NETWORK_EVENT_TYPES = ("1", "2", "3", "4", "6")
-
-
 @dataclass
 class StudyConfig:
-    start: datetime = SAMPLE_START
-    end: datetime = SAMPLE_END
-    units: tuple[UnitWindow, ...] = SAMPLE_UNITS
-    vital_ids: tuple[MeasureId, ...] = SAMPLE_MEASURE_IDS
-    intervention_ids: tuple[MeasureId, ...] = SAMPLE_MEASURE_IDS
-    network_departments: tuple[str, ...] = SAMPLE_NETWORK_DEPARTMENTS
-    department_patterns: tuple[str, ...] = SAMPLE_DEPARTMENT_PATTERNS
-    network_event_types: tuple[str, ...] = SAMPLE_NETWORK_EVENT_TYPES
+    """A study: its window and care units are mandatory, the other fields are needed by the
+    extracts that use them. ``file_prefix`` is put before extract file names."""
+
+    start: datetime
+    end: datetime
+    units: tuple[UnitWindow, ...]
+    vital_ids: tuple[MeasureId, ...] = ()
+    intervention_ids: tuple[MeasureId, ...] = ()
+    network_departments: tuple[str, ...] = ()
+    department_patterns: tuple[str, ...] = ()
+    # fixed values: event types of admissions, discharges, transfers and hospital outpatients
+    network_event_types: tuple[str, ...] = ("1", "2", "3", "4", "6")
+    file_prefix: str = ""
     bridge_groups: tuple[str, ...] = ("PERIOP",)
     outside_groups: tuple[str, ...] = ("PERIOP", "OTHER")
     min_stay_hours: float = 0.5
@@ -65,6 +57,8 @@ class StudyConfig:
     check_lookup_keys: bool = False
 
     def validate(self, numeric_dept_ids: bool = True) -> "StudyConfig":
+        if not self.units:
+            raise ValueError("a study needs at least one care unit")
         if self.start >= self.end:
             raise ValueError("study start must be before its end")
         if not any(u.group in self.bridge_groups for u in self.units):
@@ -86,6 +80,10 @@ class StudyConfig:
 
 def config_from_dict(d: dict) -> StudyConfig:
     """A StudyConfig from plain JSON-style values (dates as ISO strings)."""
+    missing = [k for k in ("start", "end", "units") if not d.get(k)]
+    if missing:
+        raise ValueError(f"the study configuration lacks {', '.join(missing)}")
+
     def dt(v):
         return datetime.fromisoformat(v) if isinstance(v, str) else v
 
@@ -121,7 +119,3 @@ def units_frame(spark: SparkSession, units) -> DataFrame:
 
 def ids_frame(spark: SparkSession, ids) -> DataFrame:
     return spark.createDataFrame([(m.flo_id, m.display_name) for m in ids], IDS_SCHEMA)
-
-
-def values_frame(spark: SparkSession, rows, schema: str) -> DataFrame:
-    return spark.createDataFrame(list(rows), schema)

@@ -50,7 +50,8 @@ def write_extract(df: DataFrame, name: str, out_dir: str, fmt: str = "csv",
 
 def read_extract(spark, path: str, schema: str | None = None, fmt: str = "csv") -> DataFrame:
     if fmt == "csv":
-        reader = spark.read.options(**CSV_OPTIONS)
+        # values may hold line ends; a part file is then read by one task
+        reader = spark.read.options(**CSV_OPTIONS).option("multiLine", "true")
         if schema:
             reader = reader.schema(schema)
         return reader.csv(path)

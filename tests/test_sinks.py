@@ -81,5 +81,5 @@ def test_cli_writes_extracts(spark):
                               for u in CFG.units]}, fh)
     out = tempfile.mkdtemp(prefix="stayflow-cli-out-")
     main(["--parquet-dir", d, "--out", out, "--config", conf, "--format", "parquet"])
-    cohort = spark.read.parquet(os.path.join(out, "PDC_All_Encounters"))
+    cohort = spark.read.parquet(os.path.join(out, "all_encounters"))
     assert cohort.count() == 6
