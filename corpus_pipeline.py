@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayflow.llm.common import materialize, table
+from stayflow.llm.common import materialize, sent, table
 from stayflow.llm.exact_dedup import exact_dedup
 from stayflow.llm.jaccard_join import Similarity, jaccard_classes
 from stayflow.llm.packing import best_fit_packing
@@ -23,10 +23,6 @@ from stayflow.llm.quality_rules import quality_rules
 
 #: Near duplicates share 80 of 100 shingles of five words.
 NEAR = Similarity(words=5, part=80, of=100)
-#: Keys up to which a list of rows to drop is sent to every executor (8 bytes each), so that
-#: the texts need not move; a longer one is joined by a shuffle.
-SENT_KEYS = 1_000_000
-
 
 def _free_name(docs: DataFrame) -> str:
     name = "row_key"
@@ -37,10 +33,7 @@ def _free_name(docs: DataFrame) -> str:
 
 def _without(docs: DataFrame, keys: DataFrame, key: str) -> DataFrame:
     """``docs`` without the rows whose ``key`` is in ``keys`` (one column of that name)."""
-    keys = materialize(keys.distinct(), "dropped")
-    if keys.count() <= SENT_KEYS:
-        keys = F.broadcast(keys)
-    return docs.join(keys, key, "left_anti")
+    return docs.join(sent(materialize(keys.distinct(), "dropped")), key, "left_anti")
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -17,7 +17,7 @@ import stayflow
 from stayflow.sources.sinks import materialize
 
 __all__ = ["table", "materialize", "words", "map_arrow", "group_arrow", "tokenizer_path",
-           "bounded_batches", "partitions_for", "id_text", "ship"]
+           "bounded_batches", "partitions_for", "id_text", "sent", "ship"]
 
 #: White space of the word contracts: space and U+0009 to U+000D.
 WORD = re.compile(r"[^ \t-\r]+")
@@ -93,6 +93,16 @@ def partitions_for(spark: SparkSession, rows: int, rows_each: int) -> int:
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // rows_each), 1)
 
 
+#: Rows (of a few numbers each) up to which a list is sent to every executor.
+SENT_ROWS = 1_000_000
+
+
+def sent(rows: DataFrame) -> DataFrame:
+    """``rows`` marked for broadcast if they are few (they are counted, so they should be
+    materialised); a longer list is left to a shuffled join."""
+    return F.broadcast(rows) if rows.count() <= SENT_ROWS else rows
+
+
 def id_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The two columns that most operators read; other columns are never scanned."""
     return docs.select(F.col(id_col).cast("long").alias("doc_id"),

@@ -2,16 +2,19 @@
 
 1. Texts become sets of 64-bit shingle hashes. Equal sets form a class; one document stands
    for it from here on.
-2. Tokens are ordered by hash. Two sets of similarity t share their first ``extend`` common
-   tokens inside the extended prefixes: the first n - ceil(t n) + extend tokens of a set of
-   n. Tokens in at most ``rare`` prefixes index their documents singly. A pair found so is a
-   candidate if sizes allow it and the prefixes share ``extend`` tokens.
-3. If two similar sets share no rare token there, they share ``extend`` frequent ones. Only
-   documents with that many are indexed by combinations: k tokens that follow one another in
-   the set's order. The difference of similar sets is so small that some run of r common
-   tokens is uninterrupted in both (:func:`run_length`); of every r - k + 1 combinations in a
-   row the one of least hash is indexed, so both documents index a common one.
-4. Candidates form clusters. Inside a cluster, sets are compared exactly, in blocks of
+2. Tokens are ordered by hash. Prefixes are extended: the first n - ceil(t n) + e(n) tokens of
+   a set of n are its prefix, with e(n) = ``extend`` + n / ``spread``. Two sets of similarity t
+   have their first e common tokens in both prefixes (e of the smaller, or all they share).
+3. Rare tokens, in at most ``rare`` prefixes, index documents singly. A pair found so is a
+   candidate if the sizes allow a link, and the rare tokens it shares, with as many frequent
+   tokens as the poorer prefix has, reach e.
+4. Pairs that share no rare token share e frequent ones. Only documents with that many are
+   indexed by combinations: k tokens that follow one another in the set's order. Similar sets
+   differ so little that some run of r common tokens is uninterrupted in both
+   (:func:`run_length`); of every r - k + 1 combinations in a row the one of least hash is
+   indexed, so both documents index a common one. Being asked for a large share of frequent
+   tokens, few documents take part, however frequent common phrases get in a large corpus.
+5. Candidates form clusters. Inside a cluster, sets are compared exactly, in blocks of
    ``BLOCK`` documents, and linked documents are joined to components. No pairs are emitted
    but one link per document and block; no candidates are capped.
 
@@ -27,7 +30,6 @@ set, or null. Other columns are not read.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -37,17 +39,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stayflow.llm.common import (bounded_batches, group_arrow, id_text, map_arrow,
-                                 materialize, partitions_for, table)
+                                 materialize, partitions_for, sent, table)
 from stayflow.llm.components import components
+from stayflow.llm.hashing import mix, packed, packed_batch, unpacked, word_hashes
 
-#: Prefixes that hold a rare token; tokens by which prefixes are extended.
-RARE, EXTEND = 8, 8
+#: Prefixes that hold a rare token; tokens (and set size over them) that extend prefixes.
+RARE, EXTEND, SPREAD = 8, 8, 10
 #: Documents compared with each other at once; combinations have at most this many tokens.
 BLOCK, LONGEST = 512, 5
-#: Entries in a bucket, on average; ids up to which a filter list is sent to every executor.
-ENTRIES, SENT_IDS = 1_000_000, 1_000_000
-#: Words whose hash is kept per worker before the table starts afresh.
-KEPT_WORDS = 400_000
+#: Entries in a bucket, on average.
+ENTRIES = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -67,6 +68,10 @@ class Similarity:
         """Tokens that a set of n has in common with any set that it links with."""
         return -(-self.part * n // self.of)
 
+    def extension(self, n: int, extend: int) -> int:
+        """Common tokens that the prefix of a set of n has with that of a larger one."""
+        return min(extend + n // SPREAD, self.needed(n))
+
     def linked(self, both, n, m):
         return self.of * both >= self.part * (n + m - both)
 
@@ -99,44 +104,19 @@ def combinations(sim: Similarity) -> tuple[int, tuple[int, int], tuple[int, int]
 
 # ---------------------------------------------------------------- sets
 
-class _WordHash(dict):
-    def __missing__(self, word: bytes) -> int:
-        import xxhash
-
-        value = xxhash.xxh3_64_intdigest(word)
-        if len(word) <= 40:
-            self[word] = value
-        return value
-
-
-_HASH = _WordHash()
-
-
-def _mix(h: np.ndarray) -> np.ndarray:
-    h = (h ^ (h >> np.uint64(31))) * np.uint64(0x7FB5D329728EA185)
-    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x81DADEF4BC2DD44D)
-    return h ^ (h >> np.uint64(33))
-
-
 def _combine(tokens: np.ndarray, k: int) -> np.ndarray:
     """A hash of every k consecutive tokens."""
     n = len(tokens) - k + 1
     out = np.full(n, k, np.uint64)
     for j in range(k):
-        out = _mix(out + tokens[j:j + n])
+        out = mix(out + tokens[j:j + n])
     return out
 
 
 def shingle_set(text: str, words: int) -> np.ndarray:
-    """Sorted distinct hashes of the shingles of ``words`` words; A-Z count as a-z.
-    (On UTF-8 bytes, lower() and split() know A-Z and the six white-space bytes alone.)"""
-    found = text.encode("utf-8", "surrogatepass").lower().split()
-    if not found:
-        return np.empty(0, np.uint64)
-    if len(_HASH) > KEPT_WORDS:
-        _HASH.clear()
-    tokens = np.fromiter(map(_HASH.__getitem__, found), np.uint64, len(found))
-    return np.unique(_combine(tokens, min(words, len(found))))
+    """Sorted distinct hashes of the shingles of ``words`` words; A-Z count as a-z."""
+    tokens = word_hashes(text)
+    return np.unique(_combine(tokens, min(words, len(tokens)))) if len(tokens) else tokens
 
 
 def _sets(docs: DataFrame, sim: Similarity, extend: int) -> DataFrame:
@@ -151,8 +131,9 @@ def _sets(docs: DataFrame, sim: Similarity, extend: int) -> DataFrame:
                 tokens = shingle_set(text, sim.words)
                 n.append(len(tokens))
                 digest.append(xxhash.xxh3_128_digest(tokens.tobytes()))
-                long = len(tokens) - sim.needed(len(tokens)) + extend
-                prefix.append(tokens[:long].tobytes() if len(tokens) >= sim.smallest else b"")
+                size = len(tokens)
+                long = size - sim.needed(size) + sim.extension(size, extend)
+                prefix.append(tokens[:long].tobytes() if size >= sim.smallest else b"")
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(n, pa.int64()), pa.array(digest, pa.binary()),
                  pa.array(prefix, pa.binary())], ["doc_id", "n", "digest", "prefix"])
@@ -162,25 +143,6 @@ def _sets(docs: DataFrame, sim: Similarity, extend: int) -> DataFrame:
 
 # ---------------------------------------------------------------- packed entries
 
-def _packed(bucket: np.ndarray, buckets: int, columns: list[np.ndarray]) -> Iterator[list]:
-    """(bucket, packed columns) for every bucket that has entries."""
-    order = np.argsort(bucket, kind="stable")
-    ends = np.searchsorted(bucket[order], np.arange(buckets + 1))
-    columns = [c[order] for c in columns]
-    for b in np.flatnonzero(ends[1:] > ends[:-1]).tolist():
-        yield [b, *(c[ends[b]:ends[b + 1]].tobytes() for c in columns)]
-
-
-def _batch(rows: list[list], names: list[str]) -> pa.RecordBatch:
-    types = [pa.int32()] + [pa.binary()] * (len(names) - 1)
-    return pa.RecordBatch.from_arrays(
-        [pa.array(c, t) for c, t in zip(zip(*rows) if rows else [()] * len(names), types)], names)
-
-
-def _unpacked(tbl: pa.Table, name: str, kind) -> np.ndarray:
-    return np.frombuffer(b"".join(tbl.column(name).to_pylist()), kind)
-
-
 def _scatter(buckets: int):
     """Token entries of the prefixes: bucket, tokens, ids, sizes (packed)."""
     names = ["bucket", "tokens", "ids", "sizes"]
@@ -192,21 +154,24 @@ def _scatter(buckets: int):
             tokens = np.frombuffer(b"".join(prefix), np.uint64)
             ids = np.repeat(batch.column(0).to_numpy(), lengths)
             sizes = np.repeat(batch.column(1).to_numpy(), lengths)
-            bucket = (_mix(tokens) % np.uint64(buckets)).astype(np.int64)
-            yield _batch(list(_packed(bucket, buckets, [tokens, ids, sizes])), names)
+            bucket = (mix(tokens) % np.uint64(buckets)).astype(np.int64)
+            yield packed_batch(list(packed(bucket, buckets, [tokens, ids, sizes])), names)
 
     return run
 
 
 def _rare_pairs(sim: Similarity, rare: int):
-    """For a bucket of token entries: pairs (a < b) of documents that share a rare token and
-    whose sizes allow a link, and (a, null, n) for a document with n frequent tokens."""
+    """For a bucket of token entries: (a, b, n) for documents a < b that share n rare tokens
+    and whose sizes allow a link, and (a, null, n) for a document with n frequent tokens."""
 
     def run(tbl: pa.Table) -> pa.Table:
-        tokens, ids, sizes = (_unpacked(tbl, c, k) for c, k in (
+        tokens, ids, sizes = (unpacked(tbl, c, k) for c, k in (
             ("tokens", np.uint64), ("ids", np.int64), ("sizes", np.int64)))
         order = np.lexsort((ids, tokens))
         tokens, ids, sizes = tokens[order], ids[order], sizes[order]
+        # rows of one id, if repeated, are one document
+        new = np.r_[True, (tokens[1:] != tokens[:-1]) | (ids[1:] != ids[:-1])][:len(tokens)]
+        tokens, ids, sizes = tokens[new], ids[new], sizes[new]
         starts = np.flatnonzero(np.r_[True, tokens[1:] != tokens[:-1]]) if len(tokens) else []
         count = np.diff(np.r_[starts, len(tokens)]).astype(np.int64)
         df = np.repeat(count, count)
@@ -219,27 +184,12 @@ def _rare_pairs(sim: Similarity, rare: int):
             a, b, na, nb = ids[:-k][same], ids[k:][same], sizes[:-k][same], sizes[k:][same]
             ok = sim.of * np.minimum(na, nb) >= sim.part * np.maximum(na, nb)
             pairs.append(np.stack([a[ok], b[ok]], axis=1))
-        pairs = np.unique(np.concatenate(pairs), axis=0) if pairs else np.empty((0, 2), np.int64)
+        pairs, shared = np.unique(np.concatenate(pairs), axis=0, return_counts=True)
         none = pa.nulls(len(frequent), pa.int64())
         return pa.table({
             "a": pa.concat_arrays([pa.array(pairs[:, 0], pa.int64()), pa.array(frequent, pa.int64())]),
             "b": pa.concat_arrays([pa.array(pairs[:, 1], pa.int64()), none]),
-            "n": pa.concat_arrays([pa.nulls(len(pairs), pa.int64()), pa.array(n, pa.int64())])})
-
-    return run
-
-
-def _share(extend: int, sim: Similarity):
-    """Keeps the pairs whose prefixes have the common tokens that a link needs."""
-
-    def run(batches):
-        for batch in batches:
-            keep = []
-            for a, b, n, m in zip(*(batch.column(c).to_pylist() for c in ("pa", "pb", "na", "nb"))):
-                least = min(extend, max(sim.needed(n), sim.needed(m)))
-                both = np.intersect1d(np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64), True)
-                keep.append(len(both) >= least)
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            "n": pa.concat_arrays([pa.array(shared, pa.int64()), pa.array(n, pa.int64())])})
 
     return run
 
@@ -284,9 +234,9 @@ def _index(sim: Similarity, buckets: int):
         edges, first = _stars(sigs, ids)
         rows = [[-1, edges[:, 0].tobytes(), edges[:, 1].tobytes()]] if len(edges) else []
         sigs, ids = sigs[first], ids[first]
-        bucket = (_mix(sigs) % np.uint64(buckets)).astype(np.int64)
-        rows += _packed(bucket, buckets, [sigs, ids])
-        yield _batch(rows, ["bucket", "sigs", "ids"])
+        bucket = (mix(sigs) % np.uint64(buckets)).astype(np.int64)
+        rows += packed(bucket, buckets, [sigs, ids])
+        yield packed_batch(rows, ["bucket", "sigs", "ids"])
 
     return run
 
@@ -303,7 +253,7 @@ def _stars(sigs: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def _meet(tbl: pa.Table) -> pa.Table:
     """Links of a bucket of combination entries (bucket -1 has links already)."""
-    a, b = _unpacked(tbl, "sigs", np.uint64), _unpacked(tbl, "ids", np.int64)
+    a, b = unpacked(tbl, "sigs", np.uint64), unpacked(tbl, "ids", np.int64)
     if tbl.column("bucket")[0].as_py() < 0:
         links = np.unique(np.stack([a.view(np.int64), b], axis=1), axis=0)
     else:
@@ -378,13 +328,6 @@ def _verify(sim: Similarity):
     return run
 
 
-def _only(df: DataFrame, ids: DataFrame) -> DataFrame:
-    """Rows of ``df`` whose doc_id is in ``ids``; a short list is sent to every executor, so
-    that the texts need not move; a longer one is joined by a shuffle."""
-    sent = ids.count() <= SENT_IDS
-    return df.join(F.broadcast(ids) if sent else ids, "doc_id", "left_semi")
-
-
 def jaccard_classes(docs: DataFrame, sim: Similarity = Similarity(), id_col: str = "doc_id",
                     text_col: str = "text", rare: int = RARE, extend: int = EXTEND) -> DataFrame:
     """doc_id, n_shingles, component_id for every row of ``docs``."""
@@ -392,9 +335,14 @@ def jaccard_classes(docs: DataFrame, sim: Similarity = Similarity(), id_col: str
     texts = id_text(docs, id_col, text_col)
     sets = materialize(_sets(texts, sim, extend), "shingle-sets")
 
-    reps = (sets.filter((F.col("n") >= sim.smallest) & F.col("doc_id").isNotNull()).groupBy("digest")
-            .agg(F.min(F.struct("doc_id", "n", "prefix")).alias("r")).select("r.*"))
-    reps = materialize(reps, "classes")
+    usable = (F.col("n") >= sim.smallest) & F.col("doc_id").isNotNull()
+    names = sets.filter(usable).select("doc_id", "digest")
+    first = names.groupBy("digest").agg(F.min("doc_id").alias("first"))
+    others = materialize(names.join(first, "digest").filter(F.col("doc_id") != F.col("first"))
+                         .select("doc_id").distinct(), "copies")
+    # copies are left out where the sets are read; repeats of a row count once
+    reps = sets.filter(usable).select("doc_id", "n", "prefix").join(
+        sent(others), "doc_id", "left_anti")
     entries = reps.agg(F.sum(F.length("prefix") / 8)).first()[0] or 0
     buckets = partitions_for(spark, int(entries), ENTRIES)
     found = group_arrow(map_arrow(reps, _scatter(buckets),
@@ -402,26 +350,35 @@ def jaccard_classes(docs: DataFrame, sim: Similarity = Similarity(), id_col: str
                         ["bucket"], _rare_pairs(sim, rare), "a long, b long, n long")
     found = materialize(found, "prefix-matches")
 
-    # pairs of rare tokens, checked on their prefixes
-    left = reps.select(F.col("doc_id").alias("a"), F.col("prefix").alias("pa"), F.col("n").alias("na"))
-    right = reps.select(F.col("doc_id").alias("b"), F.col("prefix").alias("pb"), F.col("n").alias("nb"))
-    pairs = found.filter(F.col("b").isNotNull()).select("a", "b").distinct()
-    pairs = map_arrow(pairs.join(left, "a").join(right, "b"), _share(extend, sim), "a long, b long")
+    info = (found.filter(F.col("b").isNull()).groupBy(F.col("a").alias("doc_id"))
+            .agg(F.sum("n").alias("frequent")))
+    info = materialize(reps.select("doc_id", "n").distinct().join(info, "doc_id", "left").select(
+        "doc_id", F.coalesce("frequent", F.lit(0)).alias("frequent"), "n"), "frequent-tokens")
+
+    def needed(n):
+        return F.ceil(n * sim.part / F.lit(sim.of))
+
+    def extension(n):
+        return F.least(F.lit(extend) + F.floor(n / SPREAD), needed(n))
+
+    # pairs of rare tokens that can share enough
+    pairs = (found.filter(F.col("b").isNotNull()).groupBy("a", "b").agg(F.sum("n").alias("shared"))
+             .join(info.select(F.col("doc_id").alias("a"), F.col("frequent").alias("fa"), F.col("n").alias("na")), "a")
+             .join(info.select(F.col("doc_id").alias("b"), F.col("frequent").alias("fb"), F.col("n").alias("nb")), "b")
+             .filter(F.col("shared") + F.least("fa", "fb") >= extension(F.least("na", "nb")))
+             .select("a", "b"))
     pairs = materialize(pairs, "rare-pairs")
 
-    # documents with enough frequent tokens, indexed by combinations
-    heavy = (found.filter(F.col("b").isNull()).groupBy(F.col("a").alias("doc_id"))
-             .agg(F.sum("n").alias("n_frequent")).join(reps.select("doc_id", "n"), "doc_id")
-             .filter(F.col("n_frequent") >= F.least(
-                 F.lit(extend), F.ceil(sim.part * F.col("n") / sim.of)))
+    # documents whose frequent tokens alone can be enough for their smallest partner
+    heavy = (info.filter(F.col("frequent") >= extension(needed(F.col("n"))))
              .select("doc_id", F.lit(True).alias("heavy")))
     paired = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b"))
     wanted = heavy.unionByName(paired.withColumn("heavy", F.lit(False))).groupBy("doc_id").agg(
         F.max("heavy").alias("heavy"))
     wanted = materialize(wanted, "wanted")
-    again = _only(texts, wanted.select("doc_id"))
+    again = texts.join(sent(wanted.select("doc_id")), "doc_id", "left_semi")
     full = materialize(map_arrow(again, _full(sim), "doc_id long, n long, tokens binary")
-                       .join(wanted, "doc_id"), "full-sets")
+                       .join(sent(wanted), "doc_id"), "full-sets")
     combos = full.filter("heavy").agg(F.sum("n")).first()[0] or 0
     buckets = partitions_for(spark, int(combos), ENTRIES)
     links = group_arrow(map_arrow(full.filter("heavy"), _index(sim, buckets),
@@ -443,7 +400,8 @@ def jaccard_classes(docs: DataFrame, sim: Similarity = Similarity(), id_col: str
         F.when(small, F.pmod(F.xxhash64("comp"), F.lit(groups))).otherwise(F.col("comp")).alias("g"),
         F.when(small, -1).otherwise(F.least("part", "other")).alias("g1"),
         F.when(small, -1).otherwise(F.greatest("part", "other")).alias("g2"))
-    verified = group_arrow(members.join(full.select("doc_id", "tokens"), "doc_id"),
+    members = materialize(members, "cluster-members")
+    verified = group_arrow(full.select("doc_id", "tokens").join(sent(members), "doc_id"),
                            ["g", "g1", "g2"], _verify(sim), "a long, b long")
     roots = components(verified, "verified-stars")
 

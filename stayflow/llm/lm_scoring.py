@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stayflow.llm.common import (bounded_batches, group_arrow, map_arrow, materialize,
-                                 partitions_for, table)
+                                 partitions_for, sent, table)
 from stayflow.llm.hashing import (mix, packed, packed_batch, packed_schema, unpacked, word_hashes)
 
 #: Words in the vocabulary. With the marks, a pair of word numbers has 32 bits.
@@ -41,9 +41,8 @@ OTHER, START, END = 0, 1, 2
 #: Weight of the bigram share, and of the uniform share among the rest.
 A, B = 0.6, 0.05
 UNIT = 65_536
-#: Entries in a bucket on average; entries a task holds before it sends them on; target ids
-#: up to which the list is sent to every executor instead of joined by a shuffle.
-ENTRIES, HELD, SENT_IDS = 2_000_000, 6_000_000, 1_000_000
+#: Entries in a bucket on average; entries a task holds before it sends them on.
+ENTRIES, HELD = 2_000_000, 6_000_000
 #: Stands for a null id inside packed columns.
 NO_ID = np.iinfo(np.int64).min
 
@@ -55,9 +54,7 @@ def flagged(docs: DataFrame, targets: DataFrame, id_col: str, text_col: str) ->
     """doc_id, text, target (boolean) of every row; ``targets`` has distinct doc_id."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"),
                        F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    targets = targets.withColumn("target", F.lit(True))
-    if targets.count() <= SENT_IDS:
-        targets = F.broadcast(targets)
+    targets = sent(targets.withColumn("target", F.lit(True)))
     return rows.join(targets, "doc_id", "left").select(
         "doc_id", "text", F.coalesce("target", F.lit(False)).alias("target"))
 
