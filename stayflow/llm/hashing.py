@@ -57,7 +57,3 @@ def packed_batch(rows: list[list], names: list[str]) -> pa.RecordBatch:
 
 def unpacked(tbl: pa.Table, name: str, kind) -> np.ndarray:
     return np.frombuffer(b"".join(tbl.column(name).to_pylist()), kind)
-
-
-def packed_schema(names: list[str]) -> str:
-    return f"{names[0]} int, " + ", ".join(f"{n} binary" for n in names[1:])

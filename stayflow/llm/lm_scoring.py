@@ -13,9 +13,9 @@ Bigram counts leave the scored document out, so that a document does not vouch f
 Only the vocabulary with its counts is broadcast, whose size is bounded. Bigrams and their
 counts grow with the corpus and stay distributed: every document's distinct bigrams travel
 once, packed, to the bucket of their hash; there both counts are summed and every document's
-share of the losses is worked out, which then meets by document. A very frequent bigram comes
-once per document, with its count. Losses are whole numbers of bits / UNIT, so sums do not
-depend on their order.
+share of the losses is worked out, which goes back to the document's origin (its input
+partition) and meets there. A very frequent bigram comes once per document, with its count.
+Losses are whole numbers of bits / UNIT, so sums do not depend on their order.
 
 Defined results: null or empty text is the end mark alone (one token); every input row gives
 one row (repeated rows count as documents of their own); without any target document only the
@@ -27,27 +27,27 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stayflow.llm.common import (bounded_batches, group_arrow, map_arrow, materialize,
                                  partitions_for, sent, table)
-from stayflow.llm.hashing import (mix, packed, packed_batch, packed_schema, unpacked, word_hashes)
+from stayflow.llm.hashing import mix, packed, unpacked, word_hashes
 
 #: Words in the vocabulary. With the marks, a pair of word numbers has 32 bits.
 VOCABULARY = 65_533
 OTHER, START, END = 0, 1, 2
 #: Weight of the bigram share, and of the uniform share among the rest.
 A, B = 0.6, 0.05
-UNIT = 65_536
+UNIT = 4_096
 #: Entries in a bucket on average; entries a task holds before it sends them on.
-ENTRIES, HELD = 2_000_000, 6_000_000
-#: Stands for a null id inside packed columns.
-NO_ID = np.iinfo(np.int64).min
-
-_RUN = np.dtype([("row", "<i8"), ("doc", "<i8"), ("n", "<u4"), ("target", "u1")])
-_SHARE = np.dtype([("row", "<i8"), ("doc", "<i8"), ("n", "<i8"), ("target", "<i8"), ("back", "<i8")])
+ENTRIES, HELD = 3_000_000, 6_000_000
+#: Stands for a null id inside packed columns; marks a target document's number in a run.
+NO_ID, TARGET = np.iinfo(np.int64).min, 1 << 31
+#: Largest loss that one share holds; a larger one is divided among several.
+MOST = 1 << 30
 
 
 def flagged(docs: DataFrame, targets: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -123,40 +123,50 @@ class Vocabulary:
         return np.rint(-np.log2(p) * UNIT).astype(np.int64)
 
 
+ENTRY = ["bucket", "origin", "docs", "sizes", "pairs", "counts"]
+SHARE = ["origin", "ids", "docs", "n", "target", "back"]
+
+
+def _schema(names: list[str], numbers: int) -> str:
+    return ", ".join(f"{n} {'int' if k < numbers else 'binary'}" for k, n in enumerate(names))
+
+
+def _rows(rows: list[list], names: list[str], numbers: int) -> pa.RecordBatch:
+    columns = list(zip(*rows)) if rows else [()] * len(names)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(c, pa.int32() if k < numbers else pa.binary()) for k, c in enumerate(columns)], names)
+
+
 def _entries(vocabulary, buckets: int):
-    """Per bucket: the documents' runs, their distinct pairs and counts (packed)."""
-    names = ["bucket", "runs", "pairs", "counts"]
+    """Per bucket and origin (input partition): the numbers of the documents there and how
+    many distinct pairs each has in the bucket, the pairs and their counts. Rows of bucket -1
+    have the documents' ids (as pairs of bytes ``docs``: numbers, ``pairs``: ids)."""
 
     def run(batches):
-        own = vocabulary.value
-        row = TaskContext.get().partitionId() << 33
-        held, size = [], 0
+        own, origin = vocabulary.value, TaskContext.get().partitionId()
+        held, size, first = [], 0, 0
 
         def out():
-            doc = np.concatenate([h[0] for h in held])
-            pair = np.concatenate([h[1] for h in held])
-            n = np.concatenate([h[2] for h in held])
-            info = np.concatenate([h[3] for h in held])
+            doc, pair, n = (np.concatenate([h[i] for h in held]) for i in (0, 1, 2))
+            ids = np.concatenate([h[3] for h in held])
+            flag = np.concatenate([h[4] for h in held])
+            low = first - len(ids)
             held.clear()
+            rows = [[-1, origin, np.arange(low, first, dtype=np.uint32).tobytes(), None,
+                     ids.tobytes(), None]]
             bucket = (mix(pair.astype(np.uint64)) % np.uint64(buckets)).astype(np.int64)
-            rows = []
             for b, docs, pairs, counts in packed(bucket, buckets, [doc, pair, n]):
                 # stable: entries of a document stay together; a run is a document's entries
                 docs = np.frombuffer(docs, np.int64)
                 head = np.flatnonzero(np.r_[True, docs[1:] != docs[:-1]])
-                runs = info[docs[head]]
-                runs["n"] = np.diff(np.r_[head, len(docs)])
-                rows.append([b, runs.tobytes(), pairs, counts])
-            return packed_batch(rows, names)
+                runs = docs[head].astype(np.uint32) | np.where(
+                    flag[docs[head] - low], np.uint32(TARGET), np.uint32(0))
+                sizes = np.diff(np.r_[head, len(docs)]).astype(np.uint32)
+                rows.append([b, origin, runs.tobytes(), sizes.tobytes(), pairs, counts])
+            return _rows(rows, ENTRY, 2)
 
-        first = 0  # of the documents held
         for batch in bounded_batches(batches, 1):
             k = batch.num_rows
-            info = np.zeros(k, _RUN)
-            info["row"] = np.arange(row, row + k)
-            row += k
-            info["doc"] = [NO_ID if d is None else d for d in batch.column(0).to_pylist()]
-            info["target"] = batch.column(2).to_pylist()
             words = [own.numbers(word_hashes(t)) for t in batch.column(1).to_pylist()]
             chain = np.concatenate([np.concatenate(([START], w, [END])) for w in words])
             length = np.array([len(w) + 1 for w in words])
@@ -165,55 +175,81 @@ def _entries(vocabulary, buckets: int):
             pair = (chain[:-1] << 16 | chain[1:])[inside]
             key = np.repeat(np.arange(k, dtype=np.int64), length) << 32 | pair
             key, n = np.unique(key, return_counts=True)
+            ids = np.array([NO_ID if d is None else d for d in batch.column(0).to_pylist()], np.int64)
             held.append(((key >> 32) + first, (key & 0xFFFFFFFF).astype(np.uint32),
-                         n.astype(np.uint32), info))
+                         n.astype(np.uint32), ids, np.array(batch.column(2).to_pylist(), bool)))
             first += k
             size += len(key)
             if size > HELD:
                 yield out()
-                first = size = 0
+                size = 0
         if held:
             yield out()
 
-    return run, names
+    return run
 
 
-def _shares(vocabulary, groups: int):
+def _shares(vocabulary):
     """For a bucket: counts of its pairs, and every document's share of both losses, packed
-    by group of documents."""
-    names = ["bucket", "shares"]
+    by origin."""
 
     def run(tbl: pa.Table) -> pa.Table:
+        origins = tbl.column("origin").to_pylist()
+        if tbl.column("bucket")[0].as_py() < 0:  # ids go on to their origin
+            return pa.Table.from_batches([_rows(
+                [[o, i, d, None, None, None] for o, d, i in zip(
+                    origins, tbl.column("docs").to_pylist(), tbl.column("pairs").to_pylist())], SHARE, 1)])
         own = vocabulary.value
-        runs, pairs = unpacked(tbl, "runs", _RUN), unpacked(tbl, "pairs", np.uint32)
-        n = unpacked(tbl, "counts", np.uint32).astype(np.int64)
+        docs, sizes = unpacked(tbl, "docs", np.uint32), unpacked(tbl, "sizes", np.uint32).astype(np.int64)
+        pairs, n = unpacked(tbl, "pairs", np.uint32), unpacked(tbl, "counts", np.uint32).astype(np.int64)
         known, at = np.unique(pairs, return_inverse=True)
-        mine = np.repeat(runs["target"], runs["n"])
+        mine = np.repeat(docs >= TARGET, sizes)
+        docs = docs & np.uint32(TARGET - 1)
         back = np.bincount(at, n, len(known))
         target = np.bincount(at, n * mine, len(known))
         pair = pairs.astype(np.int64)
-        ends = np.cumsum(runs["n"].astype(np.int64))
-        starts = ends - runs["n"]
-        out = np.zeros(len(runs), _SHARE)
-        out["row"], out["doc"] = runs["row"], runs["doc"]
-        out["n"] = np.add.reduceat(n, starts)
-        out["target"] = np.add.reduceat(n * own.losses(pair, target[at] - n * mine, own.target), starts)
-        out["back"] = np.add.reduceat(n * own.losses(pair, back[at] - n, own.back), starts)
-        bucket = (mix(out["row"].astype(np.uint64)) % np.uint64(groups)).astype(np.int64)
-        return pa.Table.from_batches([packed_batch(list(packed(bucket, groups, [out])), names)])
-
-    return run, names
+        starts = np.cumsum(sizes) - sizes
+        sums = [np.add.reduceat(x, starts) for x in (
+            n, n * own.losses(pair, target[at] - n * mine, own.target),
+            n * own.losses(pair, back[at] - n, own.back))]
+        ends = np.cumsum([len(d) // 4 for d in tbl.column("docs").to_pylist()])
+        rows = []
+        for origin, a, b in zip(origins, np.r_[0, ends[:-1]], ends):
+            rows.append([origin, None, *(x.tobytes() for x in _divided(docs[a:b], *(s[a:b] for s in sums)))])
+        return pa.Table.from_batches([_rows(rows, SHARE, 1)])
+
+    return run
+
+
+def _divided(docs: np.ndarray, *sums: np.ndarray) -> list[np.ndarray]:
+    """32-bit columns: a document whose sums are too large for one share gets several."""
+    parts = np.maximum.reduce(sums) // MOST + 1
+    if (parts == 1).all():
+        return [docs, *(s.astype(np.uint32) for s in sums)]
+    out, lead = [np.repeat(docs, parts)], np.cumsum(parts) - parts
+    for s in sums:
+        each = np.repeat(s // parts, parts)
+        each[lead] += s % parts
+        out.append(each.astype(np.uint32))
+    return out
 
 
 def _sums(tbl: pa.Table) -> pa.Table:
-    """doc_id, n_tokens, target, back of the documents of a group."""
-    shares = unpacked(tbl, "shares", _SHARE)
-    shares = shares[np.argsort(shares["row"], kind="stable")]
-    starts = np.flatnonzero(np.r_[True, shares["row"][1:] != shares["row"][:-1]])
-    doc = shares["doc"][starts]
-    return pa.table({"doc_id": pa.array(doc, pa.int64(), mask=doc == NO_ID),
-                     **{c: np.add.reduceat(shares[k], starts) for c, k in (
-                         ("n_tokens", "n"), ("target", "target"), ("back", "back"))}})
+    """doc_id, n_tokens, target, back of the documents of an origin."""
+    named = pa.compute.is_valid(tbl.column("ids"))
+    ids = unpacked(tbl.filter(named), "ids", np.int64)
+    where = unpacked(tbl.filter(named), "docs", np.uint32)
+    shares = tbl.filter(pa.compute.invert(named))
+    docs = unpacked(shares, "docs", np.uint32)
+    place = np.zeros(len(ids), np.int64)
+    place[where] = ids
+    # sums of 32-bit parts, low and high halves apart: exact in the doubles of bincount
+    sums = {}
+    for out, column in (("n_tokens", "n"), ("target", "target"), ("back", "back")):
+        x = unpacked(shares, column, np.uint32)
+        low, high = (np.bincount(docs, part, len(ids)) for part in (x & np.uint32(0xFFFF), x >> np.uint32(16)))
+        sums[out] = low.astype(np.int64) + (high.astype(np.int64) << 16)
+    return pa.table({"doc_id": pa.array(place, pa.int64(), mask=place == NO_ID), **sums})
 
 
 def cross_entropy_difference(docs: DataFrame, targets: DataFrame, id_col: str = "doc_id",
@@ -233,11 +269,12 @@ def cross_entropy_difference(docs: DataFrame, targets: DataFrame, id_col: str =
         top.column("word").to_numpy().astype(np.int64).view(np.uint64),
         top.column("n").to_numpy(), top.column("n_target").to_numpy(), totals))
     buckets = partitions_for(spark, totals["n"], ENTRIES)
-    run, names = _entries(vocabulary, buckets)
-    entries = map_arrow(rows, run, packed_schema(names))
-    run, names = _shares(vocabulary, buckets)
-    shares = group_arrow(entries, ["bucket"], run, packed_schema(names))
-    sums = group_arrow(shares, ["bucket"], _sums, "doc_id long, n_tokens long, target long, back long")
+    entries = map_arrow(rows, _entries(vocabulary, buckets), _schema(ENTRY, 2))
+    # ids stay with their origin's group instead of one for all
+    entries = entries.withColumn("part", F.when(F.col("bucket") < 0, -1 - F.col("origin"))
+                                 .otherwise(F.col("bucket")))
+    shares = group_arrow(entries, ["part"], _shares(vocabulary), _schema(SHARE, 1))
+    sums = group_arrow(shares, ["origin"], _sums, "doc_id long, n_tokens long, target long, back long")
     per = F.lit(float(UNIT)) * F.col("n_tokens")
     return sums.select("doc_id", "n_tokens", (F.col("target") / per).alias("target_bits"),
                        (F.col("back") / per).alias("background_bits"),

@@ -255,6 +255,7 @@ def test_lm_scoring_without_documents_or_targets(spark, docs_of):
     assert sorted((str(r.doc_id), r.n_tokens) for r in rows) == [("1", 3), ("1", 3), ("None", 2)]
 
 
+ 
 # ---------------------------------------------------------------- chat formatting
 
 def test_snapshots_collapse(spark):
@@ -343,3 +344,14 @@ def test_warc_derivatives(spark, tmp_path):
 
 def test_page_text_keeps_lines():
     assert warc.page_text("<h1>A</h1><p>b <b>c</b>\t d</p>\n<ul><li>e</li></ul>") == "A\nb c d\ne"
+
+
+def test_large_losses_are_divided_among_shares():
+    import numpy as np
+
+    docs = np.array([1, 2, 9], np.uint32)
+    sums = [np.array([5, 7, 10 ** 6]), np.array([0, 2 ** 33 + 3, 11]), np.array([2 ** 31, 1, 2 ** 40 + 1])]
+    out = lm_scoring._divided(docs, *sums)
+    assert all(x.dtype == np.uint32 for x in out)
+    for s, x in zip(sums, out[1:]):
+        assert [int(x[out[0] == d].astype(np.int64).sum()) for d in docs] == s.tolist()
