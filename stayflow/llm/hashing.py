@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Words whose hash is kept per worker before the table starts afresh.
-KEPT_WORDS = 400_000
+KEPT_WORDS = 200_000
 
 
 class _WordHash(dict):

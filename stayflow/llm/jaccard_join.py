@@ -125,7 +125,7 @@ def _sets(docs: DataFrame, sim: Similarity, extend: int) -> DataFrame:
     def run(batches):
         import xxhash
 
-        for batch in bounded_batches(batches, 1):
+        for batch in bounded_batches(batches, 1, 4 << 20):
             n, digest, prefix = [], [], []
             for text in batch.column(1).to_pylist():
                 tokens = shingle_set(text, sim.words)
@@ -148,7 +148,7 @@ def _scatter(buckets: int):
     names = ["bucket", "tokens", "ids", "sizes"]
 
     def run(batches):
-        for batch in bounded_batches(batches, 2, 16 << 20):
+        for batch in bounded_batches(batches, 2, 8 << 20):
             prefix = batch.column(2).to_pylist()
             lengths = np.array([len(p) // 8 for p in prefix], np.int64)
             tokens = np.frombuffer(b"".join(prefix), np.uint64)
@@ -416,7 +416,7 @@ def jaccard_classes(docs: DataFrame, sim: Similarity = Similarity(), id_col: str
 
 def _full(sim: Similarity):
     def run(batches):
-        for batch in bounded_batches(batches, 1):
+        for batch in bounded_batches(batches, 1, 4 << 20):
             sets = [shingle_set(t, sim.words) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([len(s) for s in sets], pa.int64()),

@@ -43,7 +43,7 @@ OTHER, START, END = 0, 1, 2
 A, B = 0.6, 0.05
 UNIT = 4_096
 #: Entries in a bucket on average; entries a task holds before it sends them on.
-ENTRIES, HELD = 3_000_000, 6_000_000
+ENTRIES, HELD = 2_000_000, 3_000_000
 #: Stands for a null id inside packed columns; marks a target document's number in a run.
 NO_ID, TARGET = np.iinfo(np.int64).min, 1 << 31
 #: Largest loss that one share holds; a larger one is divided among several.

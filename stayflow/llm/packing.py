@@ -30,7 +30,7 @@ from stayflow.llm.token_counts import byte_letters
 
 MODEL = "word_bpe_49k.json"
 #: Units and words kept per worker before a table starts afresh; longer ones are never kept.
-KEPT_UNITS, KEPT_WORDS, KEPT_LENGTH = 300_000, 600_000, 40
+KEPT_UNITS, KEPT_WORDS, KEPT_LENGTH = 200_000, 350_000, 40
 #: A unit of letters whose lower case is one letter in the same place, and closing marks: the
 #: vocabulary's model then needs neither normaliser nor pre-tokenizer.
 _PLAIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00de\u00e0-\u00f6\u00f8-\u00fe]+)([.,;:!?]*)")

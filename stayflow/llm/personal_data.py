@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stayflow.llm.common import materialize, table
+from stayflow.llm.common import materialize, sent, table
 
 KINDS = ("email", "ip", "card", "phone")
 TERM = "term"
@@ -164,10 +164,11 @@ def telling_terms(base: DataFrame, texts: DataFrame, window: int, support: int,
     pairs = (pairs.join(entities, "entity").filter(F.col("d_e") < total).join(counts, "term")
              .withColumn("disclosure", tells).filter(F.col("disclosure") > generalise)
              .select("entity", "term", "disclosure"))
-    return (near.join(pairs, ["entity", "term"])
+    told = (near.join(pairs, ["entity", "term"])
             .groupBy("row", "start", "end").agg(F.max("disclosure").alias("disclosure"))
             .groupBy("row").agg(F.sort_array(F.collect_list(F.struct(
                 "start", "end", (F.col("disclosure") > remove).alias("remove")))).alias("terms")))
+    return materialize(told, "telling-terms")
 
 
 def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -183,7 +184,8 @@ def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     base = base.withColumn("row", F.monotonically_increasing_id())
     base = materialize(base if keep else base.drop("text"), "base-spans")
     terms = telling_terms(base, rows, window, support, generalise, remove)
-    return (base.drop("contexts").join(terms, "row", "left").drop("row")
+    # few documents have such terms; while they are few, the texts need not move
+    return (base.drop("contexts").join(sent(terms), "row", "left").drop("row")
             .withColumn("terms", F.coalesce(
                 "terms", F.array().cast("array<struct<start:bigint,end:bigint,remove:boolean>>"))))
 

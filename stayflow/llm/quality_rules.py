@@ -37,6 +37,8 @@ LANGUAGE_STEP, STEPS_BACK = 7_919, (12_345_701, 5_915_587, 9_176_263)
 #: Stands before and after each text.
 MARK = "\U0010ffff"
 SYMBOLS = "#*$%&|<>"
+#: Bytes of text whose characters are in arrays at once (some 50 bytes for each character).
+SLICE = 2 << 20
 #: Characters in a block; a quarter of a text's blocks is left out at either end.
 BLOCK = 64
 #: Costs are in bits / UNIT; bands are found on steps of bits / STEPS.
@@ -114,7 +116,7 @@ def trigram_counts(docs: DataFrame) -> DataFrame:
                      pa.array(np.bincount(back, n).astype(np.int64))], ["lang", "key", "n"])
             held.clear()
 
-        for batch in bounded_batches(batches, 1):
+        for batch in bounded_batches(batches, 1, SLICE):
             by: dict[str, list[str]] = {}
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 by.setdefault(lang, []).append(text)
@@ -124,7 +126,7 @@ def trigram_counts(docs: DataFrame) -> DataFrame:
                 keys, n = np.unique(keys, return_counts=True)
                 held.setdefault(lang, []).append((keys, n))
                 size += len(keys)
-            if size > 4_000_000:
+            if size > 1_500_000:
                 yield from out()
                 size = 0
         yield from out()
@@ -162,7 +164,7 @@ def _order(counts: DataFrame, context: list[str]) -> tuple[DataFrame, DataFrame]
     counts = counts.join(cut, "lang").withColumn("less", less)
     total = counts.groupBy("lang", *context).agg(
         F.sum("n").alias("total"), F.sum(F.round(F.col("less") * UNIT)).alias("left"))
-    total = total.withColumn("back", F.col("left") / UNIT / F.col("total"))
+    total = materialize(total.withColumn("back", F.col("left") / UNIT / F.col("total")), "contexts")
     own = counts.join(total, ["lang", *context]).withColumn(
         "own", (F.col("n") - F.col("less")) / F.col("total")).drop("n", "less", "total", "left")
     return own, total.select("lang", *context, "back")
@@ -224,16 +226,17 @@ class CharacterModel:
 def fit(docs: DataFrame) -> CharacterModel:
     """The trigram model of ``docs`` (lang, text), counted over all rows."""
     tri = materialize(trigram_counts(docs), "trigrams")
-    bi = tri.groupBy("lang", "c2", "c3").agg(F.count(F.lit(1)).alias("n"))
-    uni = bi.groupBy("lang", "c3").agg(F.count(F.lit(1)).alias("n"))
+    # each level is written out: it is small, and read several times by the next
+    bi = materialize(tri.groupBy("lang", "c2", "c3").agg(F.count(F.lit(1)).alias("n")), "bigrams")
+    uni = materialize(bi.groupBy("lang", "c3").agg(F.count(F.lit(1)).alias("n")), "unigrams")
     size = uni.groupBy("lang").agg((F.count(F.lit(1)) + 1).alias("letters"))
 
     own1, left1 = _order(uni, [])
-    p1 = own1.join(size, "lang").select(
-        "lang", "c3", (F.col("own") + F.col("back") / F.col("letters")).alias("p1"))
+    p1 = materialize(own1.join(size, "lang").select(
+        "lang", "c3", (F.col("own") + F.col("back") / F.col("letters")).alias("p1")), "order-1")
     own2, left2 = _order(bi, ["c2"])
-    p2 = own2.join(p1, ["lang", "c3"]).select(
-        "lang", "c2", "c3", (F.col("own") + F.col("back") * F.col("p1")).alias("p2"))
+    p2 = materialize(own2.join(p1, ["lang", "c3"]).select(
+        "lang", "c2", "c3", (F.col("own") + F.col("back") * F.col("p1")).alias("p2")), "order-2")
     own3, left3 = _order(tri, ["c1", "c2"])
     p3 = own3.join(p2, ["lang", "c2", "c3"]).select(
         "lang", "c1", "c2", "c3", (F.col("own") + F.col("back") * F.col("p2")).alias("p3"))
@@ -286,7 +289,7 @@ def score(docs: DataFrame, model: CharacterModel) -> DataFrame:
 
     def run(batches):
         model = shared.value
-        for batch in bounded_batches(batches, 2):
+        for batch in bounded_batches(batches, 2, SLICE):
             langs, texts = batch.column(1).to_pylist(), batch.column(2).to_pylist()
             rows = np.zeros((len(texts), len(ints)), np.int64)
             by: dict[str, list[int]] = {}

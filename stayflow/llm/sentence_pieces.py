@@ -39,7 +39,7 @@ from stayflow.llm.common import bounded_batches, id_text, map_arrow, table, toke
 MODEL = "piece_bpe_32k.model"
 SPACE = "▁"
 #: Kept per worker before a table starts afresh; longer units and parts are never kept.
-KEPT_UNITS, KEPT_PARTS, KEPT_PAIRS, KEPT_LENGTH = 300_000, 450_000, 500_000, 40
+KEPT_UNITS, KEPT_PARTS, KEPT_PAIRS, KEPT_LENGTH = 200_000, 300_000, 300_000, 40
 
 #: Values of the model file: piece types, model types.
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = range(1, 7)
