@@ -9,9 +9,11 @@ within ``window`` characters of an entity, document counts over the whole corpus
     disclosure(t, e) = PMI(t; e) / IC(e) = log(N d(t,e) / (d(t) d(e))) / log(N / d(e)),
 
 which is 1 when the term never occurs without the entity, so that seeing the term tells the
-entity, and 0 when they are independent. With ``support`` documents or more behind it, a term
-whose disclosure exceeds ``generalise`` is replaced by a class label near that entity; above
-``remove`` it is deleted. Base spans always stay.
+entity, and 0 when they are independent. As few documents say little, d(t,e) / d(t) is not
+taken as counted but at its Wilson lower bound, ``SURE`` standard errors down: a term found
+once, beside an entity found once, counts as telling it in one case of two. A term whose
+disclosure exceeds ``generalise`` is replaced by a class label near that entity; above
+``remove`` it is deleted. ``support`` can ask for more shared documents. Base spans always stay.
 
 Defined results: null or empty text has no spans; every input row gives one row (repeated
 rows count as documents of their own); an entity or term found in every document tells
@@ -47,7 +49,9 @@ GATES = {
 _PART = r"0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])"
 LETTERS = r"\p{L}{3,}+"
 
-WINDOW, SUPPORT, GENERALISE, REMOVE = 60, 3, 0.8, 0.95
+WINDOW, SUPPORT, GENERALISE, REMOVE = 60, 1, 0.8, 0.95
+#: Standard errors between a counted share and the bound that is used for it.
+SURE = 1.0
 LABELS = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]"}
 TERM_LABEL = "[TERM]"
 
@@ -138,6 +142,13 @@ def _terms(context: Column, at: Column) -> Column:
     return matches(context, LETTERS, lambda m: m.isNotNull(), item)
 
 
+def _share(both: str, every: str) -> str:
+    """SQL of the Wilson lower bound of ``both`` / ``every``."""
+    z2 = SURE * SURE
+    return (f"(({both} + {z2 / 2}D - sqrt({z2}D * {both} * ({every} - {both}) / {every} + {z2 * z2 / 4}D))"
+            f" / ({every} + {z2}D))")
+
+
 def telling_terms(base: DataFrame, texts: DataFrame, window: int, support: int,
                   generalise: float, remove: float) -> DataFrame:
     """row, terms: per document the places (start, end, remove) of the terms that tell a
@@ -160,7 +171,7 @@ def telling_terms(base: DataFrame, texts: DataFrame, window: int, support: int,
         F.lower("text"), F.lit(LETTERS), F.lit(0)))).alias("term"))
         .groupBy("term").agg(F.count(F.lit(1)).alias("d_t")).filter(F.col("d_t") >= support))
     total = base.count()
-    tells = F.expr(f"ln({total} * d_te / (d_t * d_e)) / ln({total} / d_e)")
+    tells = F.expr(f"ln({total} * {_share('d_te', 'd_t')} / d_e) / ln({total} / d_e)")
     pairs = (pairs.join(entities, "entity").filter(F.col("d_e") < total).join(counts, "term")
              .withColumn("disclosure", tells).filter(F.col("disclosure") > generalise)
              .select("entity", "term", "disclosure"))

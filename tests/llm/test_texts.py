@@ -108,6 +108,21 @@ def test_telling_terms_and_sanitised_text(docs_of):
     assert personal_data.personal_data(docs.limit(0)).count() == 0
 
 
+def test_entities_of_one_or_two_documents_have_telling_terms(docs_of):
+    rng = random.Random(3)
+    common = [f"{a}{b}" for a in ("alpha", "beta", "gamma", "delta") for b in ("one", "two", "zen")]
+    rows = [" ".join(rng.choices(common, k=30)) for _ in range(300)]
+    rows[7] += " Trillian once@galaxy.example.org " + rows[8]
+    for i in (20, 21):
+        rows[i] += " Slartibartfast twice@magrathea.example.org " + rows[9]
+    for i in range(40, 60):  # a word of many documents, once beside an entity
+        rows[i] += " Vogon"
+    rows[40] += " poet@vogsphere.example.org"
+    found = personal_data.personal_data(docs_of(list(enumerate(rows)))).collect()
+    told = sorted((r.doc_id, rows[r.doc_id][t.start:t.end]) for r in found for t in r.terms)
+    assert told == [(7, "Trillian"), (20, "Slartibartfast"), (21, "Slartibartfast")]
+
+
 # ---------------------------------------------------------------- quality rules
 
 def rules(text):
