@@ -1,6 +1,7 @@
 """Quality rules: counting rules and language-specific perplexity bands.
 
-Spark counts the character trigrams of every language over all texts; continuation counts,
+Spark counts the character trigrams of every language over all its different texts (a row of
+a text that stands in c rows counts 1/c, so copies do not teach the model); continuation counts,
 discounts, probabilities and back-off weights of a modified Kneser-Ney model are computed by
 grouping and joining those counts. The model becomes, for each order, a sorted array of
 n-gram hashes with a cost each (bits times 2**16, as whole numbers, so that a document's sum
@@ -10,8 +11,9 @@ N-grams that share a hash share the smaller cost.
 
 A text's bits per character are those of the middle half of its blocks of ``BLOCK``
 characters by cost, so that a quotation in another language or a table does not decide. They
-are compared with the language's band: quartiles of all documents that pass the counting rules, widened by ``reach`` spreads on both sides, and
-further for short texts, whose mean is less certain.
+are compared with the language's band: quartiles of all different texts that pass the counting
+rules, widened by ``reach`` spreads on both sides, and further for short texts, whose mean is
+less certain.
 
 Defined results: null or empty text has no words and fails; a null language is a language of
 its own (""); every input row gives one row; an empty table gives an empty table. U+10FFFF,
@@ -28,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stayflow.llm.common import bounded_batches, map_arrow, materialize, table, words
+from stayflow.llm.common import bounded_batches, map_arrow, materialize, sent, table, words
 
 #: Hashes are smaller than this prime, and so is the number of entries of an array.
 SLOTS = 16_777_213
@@ -43,8 +45,7 @@ SLICE = 2 << 20
 BLOCK = 64
 #: Costs are in bits / UNIT; bands are found on steps of bits / STEPS.
 UNIT, STEPS = 65_536, 256
-#: A band reaches this many spreads (inter-quartile ranges, at least LEAST bits, so that many
-#: copies of one text cannot close it) beyond the quartiles. In texts below LONG characters a
+#: A band reaches this many spreads (inter-quartile ranges, at least LEAST bits) beyond the quartiles. In texts below LONG characters a
 #: quotation can fill the middle blocks: they may cost ODD bits more or less in all, falling to
 #: none at LONG.
 REACH, LEAST, ODD, LONG = 2.5, 0.05, 700.0, 2500
@@ -99,8 +100,19 @@ def _trigrams(codes: np.ndarray) -> np.ndarray:
     return codes[:-2] << 42 | codes[1:-1] << 21 | codes[2:]
 
 
+def with_copies(docs: DataFrame) -> DataFrame:
+    """``docs`` (with lang, text) with ``digest`` of the text and ``copies``, in how many rows
+    of its language the text stands."""
+    docs = docs.withColumn("digest", F.unhex(F.sha2("text", 256)))
+    many = (docs.groupBy("lang", "digest").agg(F.count(F.lit(1)).alias("copies"))
+            .filter("copies > 1"))
+    return (docs.join(sent(materialize(many, "copied-texts")), ["lang", "digest"], "left")
+            .withColumn("copies", F.coalesce("copies", F.lit(1).cast("long"))))
+
+
 def trigram_counts(docs: DataFrame) -> DataFrame:
-    """lang, c1, c2, c3, n: how often each character follows each two, by language."""
+    """lang, c1, c2, c3, n: how often each character follows each two, by language; a row
+    counts 1 / ``copies``, so that each different text counts once."""
 
     def run(batches):
         held: dict[str, list] = {}
@@ -113,26 +125,27 @@ def trigram_counts(docs: DataFrame) -> DataFrame:
                 keys, back = np.unique(keys, return_inverse=True)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([lang] * len(keys)), pa.array(keys),
-                     pa.array(np.bincount(back, n).astype(np.int64))], ["lang", "key", "n"])
+                     pa.array(np.bincount(back, n, len(keys)))], ["lang", "key", "n"])
             held.clear()
 
         for batch in bounded_batches(batches, 1, SLICE):
-            by: dict[str, list[str]] = {}
-            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                by.setdefault(lang, []).append(text)
-            for lang, texts in by.items():
+            by: dict[tuple[str, int], list[str]] = {}
+            for lang, text, copies in zip(*(c.to_pylist() for c in batch.columns)):
+                by.setdefault((lang, copies), []).append(text)
+            for (lang, copies), texts in by.items():
                 codes = _codes(texts)
                 keys = _trigrams(codes)[codes[2:] != ord(MARK)]
                 keys, n = np.unique(keys, return_counts=True)
-                held.setdefault(lang, []).append((keys, n))
+                held.setdefault(lang, []).append((keys, n / copies))
                 size += len(keys)
             if size > 1_500_000:
                 yield from out()
                 size = 0
         yield from out()
 
-    found = map_arrow(docs.select("lang", "text"), run, "lang string, key long, n long")
-    found = found.groupBy("lang", "key").agg(F.sum("n").alias("n"))
+    found = map_arrow(docs.select("lang", "text", "copies"), run, "lang string, key long, n double")
+    # the parts of a text's copies add up to a whole number
+    found = found.groupBy("lang", "key").agg(F.round(F.sum("n")).cast("long").alias("n"))
     low = (1 << 21) - 1
     return found.select("lang", F.shiftright("key", 42).alias("c1"),
                         F.shiftright("key", 21).bitwiseAND(F.lit(low)).alias("c2"),
@@ -224,7 +237,10 @@ class CharacterModel:
 
 
 def fit(docs: DataFrame) -> CharacterModel:
-    """The trigram model of ``docs`` (lang, text), counted over all rows."""
+    """The trigram model of ``docs`` (lang, text), counted over all rows, or with ``copies``
+    over all different texts."""
+    if "copies" not in docs.columns:
+        docs = docs.withColumn("copies", F.lit(1).cast("long"))
     tri = materialize(trigram_counts(docs), "trigrams")
     # each level is written out: it is small, and read several times by the next
     bi = materialize(tri.groupBy("lang", "c2", "c3").agg(F.count(F.lit(1)).alias("n")), "bigrams")
@@ -281,8 +297,8 @@ def middle(total: np.ndarray) -> tuple[int, int]:
 
 
 def score(docs: DataFrame, model: CharacterModel) -> DataFrame:
-    """The counting rules, n_chars, and of the middle blocks cost (in bits / UNIT) and
-    characters, of every row."""
+    """The text's digest, the counting rules, n_chars, and of the middle blocks cost (in
+    bits / UNIT) and characters, of every row."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     ints = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
             "n_chars", "cost", "cost_chars"]
@@ -305,21 +321,22 @@ def score(docs: DataFrame, model: CharacterModel) -> DataFrame:
                 for i, a, k in zip(mine, start.tolist(), n.tolist()):
                     rows[i, 6:] = middle(total[a:a + k + 1])
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), *map(pa.array, rows.T.copy())],
-                ["doc_id", "lang", *ints])
+                [batch.column(0), batch.column(1), batch.column(3), *map(pa.array, rows.T.copy())],
+                ["doc_id", "lang", "digest", *ints])
 
-    return map_arrow(docs.select("doc_id", "lang", "text"), run,
-                     "doc_id long, lang string, " + ", ".join(f"{c} long" for c in ints))
+    return map_arrow(docs.select("doc_id", "lang", "text", "digest"), run,
+                     "doc_id long, lang string, digest binary, " + ", ".join(f"{c} long" for c in ints))
 
 
 # ---------------------------------------------------------------- the verdict
 
 def bands(scored: DataFrame, reach: float = REACH) -> DataFrame:
     """lang, low, high: the band of bits per character of each language, from the quartiles
-    of its documents that pass the counting rules."""
+    of its different texts that pass the counting rules."""
     step = F.floor(F.col("cost") * STEPS / UNIT / F.col("cost_chars")).alias("step")
     counts = (scored.filter(~F.col("base_failed") & (F.col("n_chars") > 0))
-              .groupBy("lang", step).agg(F.count(F.lit(1)).alias("n")))
+              .select("lang", "digest", step).distinct()
+              .groupBy("lang", "step").agg(F.count(F.lit(1)).alias("n")))
     own = Window.partitionBy("lang")
     counts = counts.select(
         "lang", "step", F.sum("n").over(own.orderBy("step")).alias("below"),
@@ -342,6 +359,7 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"),
                        F.coalesce(F.col(lang_col), F.lit("")).alias("lang"),
                        F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    docs = with_copies(docs)
     failed = F.expr("n_words < 10 or 100 * n_repeat_words > 20 * n_words")
     scored = materialize(score(docs, fit(docs)).withColumn("base_failed", failed), "scored")
     bits = F.when(F.col("n_chars") > 0, F.col("cost") / UNIT / F.col("cost_chars"))
@@ -351,7 +369,7 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return (scored.withColumn("bits_per_char", bits)
             .join(bands(scored, reach), "lang", "left")
             .withColumn("kept", ~F.col("base_failed") & F.coalesce(inside, F.lit(False)))
-            .drop("cost", "cost_chars"))
+            .drop("cost", "cost_chars", "digest"))
 
 
 def op10_quality_rules(spark, sf_dir: str) -> DataFrame:

@@ -212,6 +212,19 @@ def test_bands_part_prose_from_noise(docs_of, sample):
     assert sum(r.kept for r in good) >= 0.97 * len(good)
 
 
+def test_copies_do_not_close_a_band(docs_of, sample):
+    small = [r for r in sample if r[2] == "es"]
+    text = max((r[1] for r in small if not quality_rules.base_counts(r[1])[4]), key=len)
+    copies = [(10 ** 6 + i, text, "es") for i in range((len(sample) + 1) // 2)]  # a third of all
+    few, many = ({r.doc_id: r for r in quality_rules.quality_rules(docs_of(rows)).collect()}
+                 for rows in (sample, sample + copies))
+    assert len(copies) > 3 * len(small) and len(many) == len(sample) + len(copies)
+    for i, _, _ in sample:
+        assert (few[i].bits_per_char, few[i].low, few[i].high, few[i].kept) == (
+            many[i].bits_per_char, many[i].low, many[i].high, many[i].kept)
+    assert {many[i].kept for i, _, _ in copies} == {True}
+
+
 # ---------------------------------------------------------------- LM scoring
 
 @pytest.mark.parametrize("size", [lm_scoring.VOCABULARY, 300])
