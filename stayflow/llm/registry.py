@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from stayflow.llm import (chat_format, exact_dedup, jaccard_join, lm_scoring, packing, personal_data,
-                          quality_rules, sentence_pieces, token_counts, warc)
+                          quality_rules, sentence_pieces, source_divergence, token_counts, warc)
 
 QUERIES = {
     "op1_sentence_pieces": sentence_pieces.op1_sentence_pieces,
@@ -16,9 +16,11 @@ QUERIES = {
     "op8_jaccard_join": jaccard_join.op8_jaccard_join,
     "op9_exact_dedup": exact_dedup.op9_exact_dedup,
     "op10_quality_rules": quality_rules.op10_quality_rules,
+    "op11_source_divergence": source_divergence.op11_source_divergence,
 }
 
 ORACLE = {
     "op2_chat_format": chat_format.ORACLE,
     "op9_exact_dedup": exact_dedup.ORACLE,
+    "op11_source_divergence": source_divergence.ORACLE,
 }
