@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stayflow.llm.common import bounded_batches, map_arrow, materialize, partitions_for, ship, table
+from stayflow.llm.common import bounded_batches, map_arrow, materialize, ship, table
 
 #: Documents of a language that a kept term is in, and places listed per source for terms.
 LEAST_DOCS, LISTED = 30, 50
@@ -252,7 +252,8 @@ def source_divergence(docs: DataFrame, least: int = LEAST_DOCS, listed: int = LI
     sources = materialize(source_totals(kept), "source-totals")
     terms = kept.filter("term <> ''")
 
-    groups = partitions_for(spark, terms.count(), GROUP_ROWS)
+    # every group gives a sum for every two sources: as many groups as the rows need
+    groups = max(1, -(-terms.count() // GROUP_ROWS))
     dealt = terms.withColumn("bucket", F.pmod(F.xxhash64("term"), F.lit(groups)).cast("int"))
     everywhere = sources.withColumn("bucket", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
     ship(spark)
