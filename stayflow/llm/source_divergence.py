@@ -34,7 +34,7 @@ LEAST_DOCS, LISTED = 30, 50
 PARTS, RAISE = 1_000_000_000, 5
 
 #: Bytes of text sorted at once, and rows of counts a task holds before it hands them on.
-SLICE, HELD = 16 << 20, 1_500_000
+SLICE, HELD = 8 << 20, 1_000_000
 #: Eight-byte characters compared one by one; what is left of longer words is compared at once.
 DEEP = 8
 #: Kept rows in one group of the comparison of sources, and cells of its matrix.
