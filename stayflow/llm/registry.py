@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from stayflow.llm import (chat_format, exact_dedup, jaccard_join, lm_scoring, packing, personal_data,
-                          quality_rules, sentence_pieces, source_divergence, token_counts, warc)
+                          quality_ranking, quality_rules, sentence_pieces, source_divergence, token_counts, warc)
 
 QUERIES = {
     "op1_sentence_pieces": sentence_pieces.op1_sentence_pieces,
@@ -17,6 +17,7 @@ QUERIES = {
     "op9_exact_dedup": exact_dedup.op9_exact_dedup,
     "op10_quality_rules": quality_rules.op10_quality_rules,
     "op11_source_divergence": source_divergence.op11_source_divergence,
+    "op13_quality_ranking": quality_ranking.op13_quality_ranking,
 }
 
 ORACLE = {
