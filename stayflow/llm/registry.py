@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from stayflow.llm import (chat_format, exact_dedup, jaccard_join, lm_scoring, packing, personal_data,
-                          quality_ranking, quality_rules, sentence_pieces, source_divergence, token_counts, warc)
+                          quality_ranking, quality_rules, sentence_pieces, source_divergence,
+                          token_alignment, token_counts, warc)
 
 QUERIES = {
     "op1_sentence_pieces": sentence_pieces.op1_sentence_pieces,
@@ -17,6 +18,7 @@ QUERIES = {
     "op9_exact_dedup": exact_dedup.op9_exact_dedup,
     "op10_quality_rules": quality_rules.op10_quality_rules,
     "op11_source_divergence": source_divergence.op11_source_divergence,
+    "op12_token_alignment": token_alignment.op12_token_alignment,
     "op13_quality_ranking": quality_ranking.op13_quality_ranking,
 }
 
