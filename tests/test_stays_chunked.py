@@ -105,3 +105,42 @@ def test_null_sequence_numbers(spark):
     chunked = build_stays(df, "enc", order, "dept_grp", "dir", "effective_time",
                           hot_threshold=0, chunk_rows=1)
     assert _rows(chunked) == _rows(plain)
+
+
+@settings(max_examples=4, deadline=None,
+          suppress_health_check=[HealthCheck.function_scoped_fixture, HealthCheck.too_slow])
+@given(st.lists(st.lists(st.tuples(st.sampled_from(["In", "Out", None]),
+                                   st.sampled_from(["PICU", "CICU", "PERIOP", "CATH", "OTHER", None]),
+                                   st.sampled_from([0, 40, 90, None])), min_size=1, max_size=30),
+                min_size=1, max_size=3),
+       st.integers(min_value=1, max_value=5))
+def test_random_steps_with_nulls_and_a_unit_that_is_a_bridge(spark, encounters, chunk_rows):
+    """NULL groups, directions and times, and a bridge group (CATH) that also holds stays."""
+    from stayflow.operators.stays import stay_steps
+    base, rows, eid = datetime(2020, 1, 1), [], 0
+    for enc, evs in enumerate(encounters):
+        t = 0
+        for pos, (d, g, gap) in enumerate(evs):
+            t += gap or 0
+            eid += 1
+            rows.append((enc or None, pos, eid, d, g, None if gap is None else base + timedelta(minutes=t)))
+    df = spark.createDataFrame(rows, "enc long, seq long, event_id long, dir string, "
+                                     "dept_grp string, effective_time timestamp_ntz")
+    for upto in ("bridges", "runs", "edges", "pairs"):
+        plain, chunked = (stay_steps(df, "enc", ["seq", "event_id"], "dept_grp", "dir", "effective_time", upto,
+                                     bridge_groups=("PERIOP", "CATH"), chunk_rows=chunk_rows, **hot)
+                          for hot in ({}, {"hot_threshold": 0}))
+        cols = plain.columns
+        assert sorted(map(str, chunked.select(*cols).collect())) == sorted(map(str, plain.collect()))
+
+
+def test_segments_are_written_once(spark, monkeypatch):
+    from stayflow.operators import stays_chunked
+    written = []
+    kept = stays_chunked.materialize
+    monkeypatch.setattr(stays_chunked, "materialize", lambda df, name: written.append(name) or kept(df, name))
+    ev = events_frame(spark, CASES)
+    out = stays_chunked.build_stays_chunked(ev, "enc", ORDER, "dept_grp", "dir", "effective_time", 2)
+    assert written == ["stays-segments", "stays-contexts"]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") <= 1       # the segments, for all steps together
