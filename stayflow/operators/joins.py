@@ -121,26 +121,102 @@ def classify(events: DataFrame, units: DataFrame, dept_col: str,
     per group.
     """
     key_type = events.schema[dept_col].dataType
-    u = F.broadcast(units.select(F.col("dpt_id").cast(key_type).alias("__unit_id"),
-                                 F.col("dpt_grp").alias("__unit_grp"))
-                    .coalesce(1).distinct())  # a handful of rows: no exchange
+    # a handful of configured rows: repeats are dropped here, not by an aggregate
+    rows = {(r["dpt_id"], r["dpt_grp"]) for r in units.select("dpt_id", "dpt_grp").collect()}
+    names = units.select(F.col("dpt_id").alias("__unit_id"), F.col("dpt_grp").alias("__unit_grp"))
+    u = F.broadcast(units.sparkSession.createDataFrame(
+        sorted(rows, key=str), names.schema).withColumn("__unit_id", F.col("__unit_id").cast(key_type)))
     joined = events.join(u, F.col(dept_col) == F.col("__unit_id"), "left")
     return (joined.withColumn(out_col, F.coalesce(F.col("__unit_grp"), F.lit(default)))
             .drop("__unit_id", "__unit_grp"))
 
 
+#: Intervals of one key up to which a point is compared with all of them.
+PAIRED_INTERVALS = 64
+
+
+def _ticks(df: DataFrame, name: str) -> Column | None:
+    """A time or whole-number column as a bigint in its own order; None for other types."""
+    kind = df.schema[name].dataType.typeName()
+    if kind in ("timestamp", "timestamp_ntz"):
+        return F.unix_micros(F.col(name).cast("timestamp"))
+    if kind == "date":
+        return F.unix_date(name).cast("bigint")
+    return F.col(name).cast("bigint") if kind in ("byte", "short", "integer", "long") else None
+
+
+def _within_bins(points: DataFrame, intervals: DataFrame, keys: list[tuple[str, str]],
+                 time_col: str, start_col: str, end_col: str) -> DataFrame:
+    """As the equi join of :func:`within_interval`, by bins of time.
+
+    An interval has a level by its length (bins of the level are at least as wide, at most
+    four times) and stands in the one or two bins of its level that it touches; a point looks
+    into its bin of every level that its key's intervals have. Each pair meets in one bin
+    only, so none is found twice, and a bin holds no intervals but those of similar length
+    near the point.
+    """
+    start, end, at = (_ticks(intervals, start_col), _ticks(intervals, end_col), _ticks(points, time_col))
+    p_names, i_names = points.columns, intervals.columns
+    level = F.ceil(F.log2((end - start + 1).cast("double")) / 2).cast("int")
+    width = F.expr("shiftleft(1L, 2 * least(__level, 30))")
+    i = intervals.withColumns({"__start": start, "__end": end}).filter("__start <= __end").withColumn(
+        "__level", level).withColumn("__bin", F.explode(F.sequence(
+            F.floor(F.col("__start") / width), F.floor(F.col("__end") / width))))
+    # columns of both sides by place, since their names may clash
+    i = i.select(*[F.col(f"`{c}`").alias(f"__i{n}") for n, c in enumerate(i_names)], "__level", "__bin")
+    i_key = {c: f"__i{n}" for n, c in enumerate(i_names)}
+    p_key = {c: f"__p{n}" for n, c in enumerate(p_names)}
+    levels = i.groupBy(*[F.col(i_key[r]).alias(f"__l{n}") for n, (_, r) in enumerate(keys)]).agg(
+        F.collect_set("__level").alias("__levels"))  # 31 at most
+    p = points.withColumn("__at", at).select(
+        *[F.col(f"`{c}`").alias(f"__p{n}") for n, c in enumerate(p_names)], "__at")
+    p = p.join(levels, [F.col(p_key[left]) == F.col(f"__l{n}") for n, (left, _) in enumerate(keys)], "inner")
+    p = p.withColumn("__level", F.explode("__levels")).withColumn("__bin", F.floor(F.col("__at") / width))
+    p = p.select(*[f"__p{n}" for n in range(len(p_names))], F.col("__level").alias("__p_level"),
+                 F.col("__bin").alias("__p_bin"))
+    cond = [F.col(p_key[left]) == F.col(i_key[right]) for left, right in keys]
+    cond += [F.col("__p_level") == F.col("__level"), F.col("__p_bin") == F.col("__bin"),
+             F.col(p_key[time_col]).between(F.col(i_key[start_col]), F.col(i_key[end_col]))]
+    return p.join(i, cond, "inner").select(
+        *[f"__p{n}" for n in range(len(p_names))], *[f"__i{n}" for n in range(len(i_names))]).toDF(
+        *p_names, *i_names)
+
+
 def within_interval(points: DataFrame, intervals: DataFrame, on: KeySpec,
-                    time_col: str, start_col: str, end_col: str) -> DataFrame:
+                    time_col: str, start_col: str, end_col: str,
+                    paired: int | None = PAIRED_INTERVALS) -> DataFrame:
     """Pair each point with every interval of the same key that contains it.
 
     Inclusive on both ends; a point inside two overlapping intervals appears twice.
-    The equi key drives the join (hash/sort-merge on the key, ``BETWEEN`` as a
-    residual), so no range-join machinery is needed.
+    The equi key drives the join (hash/sort-merge on the key, ``BETWEEN`` as a residual),
+    which compares a point with all intervals of its key. Keys with more than ``paired``
+    intervals (found by counting the intervals, the small side) are joined by bins of time
+    instead (:func:`_within_bins`), where a point meets nearby intervals of similar length
+    only and a hot key is spread over its bins; ``paired=None`` never does. The rows are the
+    same either way. Times that are neither timestamps, dates nor whole numbers are always
+    joined by key.
     """
     pairs = _pairs(on)
-    cond: Column | None = None
-    for left, right in pairs:
-        c = points[left] == intervals[right]
-        cond = c if cond is None else cond & c
-    cond = cond & points[time_col].between(intervals[start_col], intervals[end_col])
-    return points.join(intervals, cond, "inner")
+
+    def by_key(points: DataFrame, intervals: DataFrame) -> DataFrame:
+        cond: Column | None = None
+        for left, right in pairs:
+            c = points[left] == intervals[right]
+            cond = c if cond is None else cond & c
+        cond = cond & points[time_col].between(intervals[start_col], intervals[end_col])
+        return points.join(intervals, cond, "inner")
+
+    if paired is None or any(t is None for t in (
+            _ticks(points, time_col), _ticks(intervals, start_col), _ticks(intervals, end_col))):
+        return by_key(points, intervals)
+    names = [r for _, r in pairs]
+    hot = intervals.groupBy(*names).agg(F.count(F.lit(1)).alias("__n")).filter(
+        F.col("__n") > paired).select(*names).dropna()
+    if hot.isEmpty():
+        return by_key(points, intervals)
+    from stayflow.sources.sinks import materialize
+    hot = materialize(hot, "hot-interval-keys")
+    mine = {left: right for left, right in pairs}
+    cold = by_key(exclude(points, hot, mine), exclude(intervals, hot, names))
+    return cold.union(_within_bins(restrict_to(points, hot, mine), restrict_to(intervals, hot, names),
+                                   pairs, time_col, start_col, end_col))

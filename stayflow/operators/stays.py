@@ -146,12 +146,41 @@ def stay_steps(events: DataFrame, key: str, order: Sequence[str], group: str,
                         outside_groups, upto)
 
 
-def hot_keys(events: DataFrame, key: str, threshold: int) -> DataFrame:
-    """Keys with more than ``threshold`` rows (a map-side-combined count), the NULL key
-    included. At most rows / threshold keys exist, so the result is small by construction;
-    it is written out, so that asking whether there are any and using them counts once."""
+#: Counters of the hot-key sketch, at first.
+COUNTERS = 1 << 14
+
+
+def hot_keys(events: DataFrame, key: str, threshold: int, counters: int = COUNTERS) -> DataFrame:
+    """Keys with more than ``threshold`` rows, the NULL key included.
+
+    Found by a sketch of mergeable counters: every task counts its rows by a hash of the key
+    in ``counters`` counters, and these are added up, so the shuffle carries counters and not
+    keys. A key above the threshold lifts its counter above it, so no hot key is missed; only
+    the keys of such counters are then counted one by one (none, as a rule). Where the rows are
+    so many that ordinary counters come near the threshold, the sketch is taken once more with
+    enough of them. At most rows / threshold keys are returned; they are written out.
+    """
     from stayflow.sources.sinks import materialize
-    return materialize(events.groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
+
+    def sketch(width: int):
+        counts = events.groupBy(F.pmod(F.xxhash64(key), F.lit(width)).alias("__counter")).agg(
+            F.count(F.lit(1)).alias("__n"))
+        found = counts.agg(F.sum("__n").alias("rows"), F.collect_list(
+            F.when(F.col("__n") > threshold, F.col("__counter"))).alias("full")).first()
+        return found["rows"] or 0, found["full"]
+
+    rows, full = sketch(counters)
+    needed = 16 * rows // max(1, threshold)
+    if full and counters < needed <= 1 << 26:
+        counters = needed
+        rows, full = sketch(counters)
+    if not full:
+        return events.sparkSession.createDataFrame([], events.select(key).schema)
+    # at most rows / threshold counters are full
+    full = F.broadcast(events.sparkSession.createDataFrame([(c,) for c in full], "__counter long"))
+    suspects = events.select(key).withColumn("__counter", F.pmod(F.xxhash64(key), F.lit(counters))).join(
+        full, "__counter", "left_semi")
+    return materialize(suspects.groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
                        .filter(F.col("__n") > threshold).select(key), "hot-keys")
 
 

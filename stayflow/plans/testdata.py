@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from stayflow.functions.expr import boundary_diff, ntz
 from stayflow.operators import stays as st
 from stayflow.operators.joins import (
-    classify, lookup, restrict_to, within_interval, within_unit_window)
+    PAIRED_INTERVALS, classify, lookup, restrict_to, within_interval, within_unit_window)
 from stayflow.sources.config import ids_frame, units_frame
 
 from stayflow.plans.testdata_common import (
@@ -186,15 +186,20 @@ def q_measure_extract(spark, d):
                     "value", "name")
 
 
-def q_within_stay_counts(spark, d):
+def q_within_stay_counts(spark, d, paired: int = PAIRED_INTERVALS):
     ev = _read(spark, d, "events").select("user_id", "event_id", "ts", "event_type", "props")
     stays = q_stays(spark, d).select(F.col(KEY).alias("s_user"), "ICU_IN_DT", "ICU_OUT_DT")
-    j = within_interval(ev, stays, {"user_id": "s_user"}, "ts", "ICU_IN_DT", "ICU_OUT_DT")
+    j = within_interval(ev, stays, {"user_id": "s_user"}, "ts", "ICU_IN_DT", "ICU_OUT_DT", paired)
     return (j.groupBy(F.col("event_type").alias("FLO_MEAS_ID"))
             .agg(F.min(F.collate(F.col("props"), "UTF8_BINARY")).alias("FLO_MEAS_NAME"),
                  F.count("event_id").alias("OCCURANCES")))
 
 
+def q_within_stay_bins(spark, d):
+    """The same counts with every user's stays joined by bins of time."""
+    return q_within_stay_counts(spark, d, paired=0)
+
+
 SQL_STAYS = f"WITH {_LOG_SQL}, {_stay_steps_sql('log')} SELECT {_STAY_SELECT_SQL} FROM stays"
 
 SQL_COHORT = f"""WITH {_LOG_SQL},
@@ -261,6 +266,7 @@ QUERIES = {
     "stay_projection": q_stay_projection,
     "measure_extract": q_measure_extract,
     "within_stay_counts": q_within_stay_counts,
+    "within_stay_bins": q_within_stay_bins,
 }
 
 ORACLE = {
@@ -274,5 +280,6 @@ ORACLE = {
     "stay_projection": SQL_STAY_PROJECTION,
     "measure_extract": SQL_MEASURE_EXTRACT,
     "within_stay_counts": SQL_WITHIN_STAY_COUNTS,
+    "within_stay_bins": SQL_WITHIN_STAY_COUNTS,
 }
 
