@@ -5,11 +5,12 @@ from stayflow.functions.expr import (
     day_diff,
     flag,
     hours_from_minutes,
+    min_text,
     ntz,
     status_ok,
     typed_null,
     year_of,
 )
 
-__all__ = ["boundary_diff", "day_diff", "flag", "hours_from_minutes", "ntz", "status_ok",
+__all__ = ["boundary_diff", "day_diff", "flag", "hours_from_minutes", "min_text", "ntz", "status_ok",
            "typed_null", "year_of"]

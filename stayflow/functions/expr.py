@@ -94,3 +94,15 @@ def status_ok(c: ColumnOrName, values: list[str]) -> Column:
 def flag(condition: Column) -> Column:
     """'1'/'0' string flag; a NULL condition gives '0' (ELSE branch)."""
     return F.when(condition, F.lit("1")).otherwise(F.lit("0"))
+
+
+def min_text(col: str | Column, collation: str) -> Column:
+    """The least text in the order of ``collation`` (e.g. ``UNICODE``: linguistic, case- and
+    accent-sensitive), as a plain string. Texts that the collation cannot tell apart (only
+    canonically equivalent spellings, under ``UNICODE``) come out in binary order."""
+    c = F.col(col) if isinstance(col, str) else col
+    plain = F.collate(c, "UTF8_BINARY")
+    if collation == "UTF8_BINARY":
+        return F.min(plain)
+    ranked = F.struct(F.collate(c, collation).alias("rank"), plain.alias("text"))
+    return F.min(F.when(c.isNotNull(), ranked)).getField("text")

@@ -6,10 +6,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stayflow.functions.expr import status_ok
+from stayflow.functions.expr import min_text, status_ok
 from stayflow.operators.joins import restrict_to, within_interval
 from stayflow.sources.catalog import SourceCatalog
 from stayflow.sources.sinks import materialize
@@ -94,10 +94,16 @@ def network_departments(src: SourceCatalog, seed_names: Sequence[str],
     return out.orderBy(F.desc("UNIQUE_PATIENTS"))
 
 
-def flowsheet_catalog(src: SourceCatalog, cohort: DataFrame) -> DataFrame:
+#: The linguistic, case- and accent-sensitive order of names.
+NAME_COLLATION = "UNICODE"
+
+
+def flowsheet_catalog(src: SourceCatalog, cohort: DataFrame,
+                      name_collation: str = NAME_COLLATION) -> DataFrame:
     """Flowsheet measurement ids recorded inside any ICU stay of the cohort, with
-    their (binary-order) minimum names and occurrence counts, most frequent first.
-    A measurement inside two overlapping stays counts twice.
+    their minimum names in the order of ``name_collation`` (display names: binary order)
+    and occurrence counts, most frequent first. A measurement inside two overlapping stays
+    counts twice.
 
     Starts from the cohort: its encounters, their flowsheet records (written out, so that
     the planner knows their size), then the measurements of those records alone. Counts
@@ -114,9 +120,9 @@ def flowsheet_catalog(src: SourceCatalog, cohort: DataFrame) -> DataFrame:
                              {"PAT_ENC_CSN_ID": "__csn"}, "RECORDED_TIME", "ICU_IN_DT",
                              "ICU_OUT_DT")
     counts = inside.groupBy("FLO_MEAS_ID").agg(F.count(F.lit(1)).alias("__n"))
-    name: Column = F.collate(F.col("FLO_MEAS_NAME"), "UTF8_BINARY")
     names = (src.table("IP_FLO_GP_DATA").groupBy("FLO_MEAS_ID")
-             .agg(F.min(name).alias("FLO_MEAS_NAME"), F.min("DISP_NAME").alias("DisplayName"),
+             .agg(min_text("FLO_MEAS_NAME", name_collation).alias("FLO_MEAS_NAME"),
+                  F.min("DISP_NAME").alias("DisplayName"),
                   F.count(F.lit(1)).alias("__rows")))
     # an id described by several rows counts once for each, an unset id never
     return (counts.join(names, "FLO_MEAS_ID", "left")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stayflow.functions.expr import boundary_diff, day_diff, flag, ntz, typed_null, year_of
+from stayflow.functions.expr import boundary_diff, day_diff, flag, min_text, ntz, typed_null, year_of
 from stayflow.operators.joins import (
     classify, exclude, lookup, restrict_to, within_unit_window)
 from stayflow.operators.merge import listagg_sorted, tagged_rows
@@ -165,9 +165,12 @@ def q_distinct_rows(spark, d):
 
 
 def q_collated_min(spark, d):
-    p = _t(spark, d, "part", "p_brand", "p_name")
+    """Minimum in linguistic order over names in mixed case, some with accents."""
+    p = _t(spark, d, "part", "p_partkey", "p_brand", "p_name")
+    kind, name = F.col("p_partkey") % 3, F.col("p_name")
+    mixed = F.when(kind == 0, F.upper(name)).when(kind == 1, F.replace(name, F.lit("a"), F.lit("á"))).otherwise(name)
     return p.groupBy("p_brand").agg(
-        F.min(F.collate(F.col("p_name"), "UTF8_BINARY")).alias("min_name"),
+        min_text(mixed, "UNICODE").alias("min_name"), min_text(mixed, "UTF8_BINARY").alias("min_binary"),
         F.count(F.lit(1)).alias("n_parts"))
 
 
@@ -339,7 +342,11 @@ LEFT JOIN prio p ON p.o_custkey = o.o_custkey
 GROUP BY o.o_custkey, o.o_orderkey""",
     "distinct_rows": "SELECT DISTINCT o_custkey, o_orderstatus, o_orderpriority FROM orders",
     "collated_min": """
-SELECT p_brand, min(p_name) AS min_name, count(*) AS n_parts FROM part GROUP BY p_brand""",
+SELECT p_brand, arg_min(name, icu_sort_key(name, 'en')) AS min_name, min(name) AS min_binary,
+       count(*) AS n_parts
+FROM (SELECT p_brand, CASE p_partkey % 3 WHEN 0 THEN upper(p_name)
+             WHEN 1 THEN replace(p_name, 'a', 'á') ELSE p_name END AS name FROM part)
+GROUP BY p_brand""",
     "tagged_union_min": f"""WITH {SEED_SQL},
 lo AS (SELECT * FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
        WHERE o.o_custkey IN (SELECT DISTINCT o_custkey FROM seed)),

@@ -4,7 +4,8 @@ Extracts are written as CSV (the reference's hand-saved files) or parquet, alway
 overwrite mode (the reference drops and recreates every table). Reused intermediates
 (the published cohort, the administration set read four times) are written to the
 shared checkpoint folder and read back, which cuts lineage: a lost executor then
-recomputes from that file instead of from the base tables.
+recomputes from that file instead of from the base tables. A published table
+(:func:`publish`) is replaced version by version, so readers never see half of one.
 """
 
 from __future__ import annotations
@@ -15,6 +16,10 @@ import uuid
 from pyspark.sql import DataFrame
 
 from stayflow.session import checkpoint_dir
+from stayflow.sources.intermediates import owned
+from stayflow.sources.published import publish, published, read_published
+
+__all__ = ["write_extract", "read_extract", "publish", "read_published", "published", "materialize"]
 
 CSV_OPTIONS = {
     "header": "true",
@@ -58,13 +63,11 @@ def read_extract(spark, path: str, schema: str | None = None, fmt: str = "csv")
     return spark.read.format(fmt).load(path)
 
 
-def publish(df: DataFrame, path: str) -> DataFrame:
-    """Write ``df`` as parquet at a shared ``path`` and return it read back."""
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
 def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Publish ``df`` under the session's shared checkpoint folder (lineage cut)."""
+    """Write ``df`` under the session's shared checkpoint folder and return it read back
+    (lineage cut). The folder belongs to the DataFrames that read it: it is removed when no
+    DataFrame's plan refers to it any more, and at the session's end (:mod:`.intermediates`)."""
     base = checkpoint_dir(df.sparkSession)
-    return publish(df, os.path.join(base, f"stayflow-{name}-{uuid.uuid4().hex[:12]}"))
+    path = os.path.join(base, f"stayflow-{name}-{uuid.uuid4().hex[:12]}")
+    df.write.parquet(path)
+    return owned(df.sparkSession.read.parquet(path), path)

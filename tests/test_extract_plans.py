@@ -86,3 +86,15 @@ def test_within_interval_counts_overlaps(spark):
                                 (2, dt(2020, 1, 1, 9), dt(2020, 1, 1, 12))],
                                "k2 long, a timestamp_ntz, b timestamp_ntz")
     assert within_interval(pts, iv, {"k": "k2"}, "t", "a", "b").count() == 2   # Q16
+
+
+def test_least_name_in_linguistic_order(spark):
+    from stayflow.functions.expr import min_text
+    rows = [(1, "Banana"), (1, "apple"), (1, None), (2, None), (3, "Äpfel"), (3, "äpfel"), (3, "apfelz"),
+            (4, "Apple"), (4, "apple")]
+    df = spark.createDataFrame(rows, "k int, n string")
+    found = df.groupBy("k").agg(min_text("n", "UNICODE").alias("u"), min_text("n", "UTF8_BINARY").alias("b"))
+    assert found.schema["u"].dataType.simpleString() == "string"
+    assert {r.k: (r.u, r.b) for r in found.collect()} == {
+        1: ("apple", "Banana"), 2: (None, None), 3: ("äpfel", "apfelz"), 4: ("apple", "Apple")}
+    assert df.limit(0).agg(min_text("n", "UNICODE")).first()[0] is None
