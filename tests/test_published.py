@@ -2,6 +2,7 @@
 
 import os
 import tempfile
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -94,8 +95,9 @@ def test_calls_of_a_query_leave_no_folders(spark):
     registry.build_shared(spark, "/root/testdata/sf0.001")  # the published cohort stays
 
     def folders():
-        for _ in range(4):
+        for _ in range(4):  # handles go one after the other
             intermediates.release(spark, collect=True)
+            time.sleep(0.3)
         return len(intermediates.held(spark))
 
     before = folders()
