@@ -76,12 +76,65 @@ def key_set(df: DataFrame, cols: Sequence[str], name: str) -> DataFrame:
     return materialize(df.select(*cols).distinct(), name)
 
 
+#: Words (of 64 bits) of a sieve at most, its bits per key, and the fewest that still help.
+SIEVE_WORDS, SIEVE_BITS, SIEVE_LEAST_BITS = 1 << 20, 12, 4
+
+
+def _sieve_place(columns: Sequence[str], words: int) -> tuple[Column, Column]:
+    """The word of a key, and the three bits that it sets there."""
+    word = F.pmod(F.xxhash64(*columns), F.lit(words))
+    more = F.xxhash64(F.lit(1), *columns)
+    bits = [F.shiftright(more, 6 * i).bitwiseAND(F.lit(63)).cast("int") for i in range(3)]
+    one = [F.call_function("shiftleft", F.lit(1).cast("bigint"), b) for b in bits]
+    return word, one[0].bitwiseOR(one[1]).bitwiseOR(one[2])
+
+
+def sift(df: DataFrame, keys: DataFrame, on: KeySpec) -> DataFrame | None:
+    """The rows of ``df`` that may have a key in ``keys``: all that have one, and about 3 in
+    100 of the others. None where no sieve applies (too many keys, or columns whose equal
+    values need not have equal hashes).
+
+    The sieve is a blocked Bloom filter: every key sets three bits of one 64-bit word, words
+    are put together by ``bit_or`` (combined map-side) and sent to the scan of ``df``, at most
+    SIEVE_WORDS of them (16 MB). It is a broadcast join on the word and a bit test, so rows
+    without a chance go before any shuffle.
+    """
+    pairs = _pairs(on)
+    for left, right in pairs:
+        kinds = {df.schema[left].dataType.simpleString(), keys.schema[right].dataType.simpleString()}
+        if len(kinds) > 1 or not kinds <= {"bigint", "int", "smallint", "string", "date", "timestamp",
+                                           "timestamp_ntz"}:
+            return None
+    names = [r for _, r in pairs]
+    keys = keys.select(*names).dropna()
+    n = keys.count()
+    if n * SIEVE_LEAST_BITS > SIEVE_WORDS * 64:
+        return None
+    words = min(SIEVE_WORDS, max(1, n * SIEVE_BITS // 64))
+    word, bits = _sieve_place(names, words)
+    sieve = keys.select(word.alias("__word"), bits.alias("__bits")).groupBy("__word").agg(
+        F.bit_or("__bits").alias("__bits"))
+    word, bits = _sieve_place([left for left, _ in pairs], words)
+    # a semi join, which the planner does not move the exact semi join below
+    return df.join(F.broadcast(sieve), (word == F.col("__word")) & (F.col("__bits").bitwiseAND(bits) == bits),
+                   "left_semi")
+
+
 def reduce_dimension(dim: DataFrame, keys: DataFrame, on: KeySpec) -> DataFrame:
-    """The rows of a large dimension that a (small, materialised) key set can match.
+    """The rows of a large dimension or fact that a materialised key set can match.
 
     A LEFT JOIN from a few fact rows to a huge table otherwise shuffles the whole huge
-    table; semi-joining it to the facts' key set first filters it where it is scanned.
+    table; semi-joining it to the facts' key set first filters it where it is scanned. A key
+    set that the planner would broadcast does so itself; for a larger one, whose semi join
+    shuffles the huge table, a sieve (:func:`sift`) in the scan leaves out nearly all rows
+    without a match before the shuffle. The semi join after it decides.
     """
+    most = dim.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    size = int(str(keys._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if size > most:
+        sifted = sift(dim, keys, on)
+        if sifted is not None:
+            dim = sifted
     return restrict_to(dim, keys, on)
 
 

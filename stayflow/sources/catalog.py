@@ -59,6 +59,12 @@ class SourceCatalog:
         self._tables[normalize(name)] = df
         return self
 
+    def replaced(self, tables: Mapping[str, DataFrame]) -> "SourceCatalog":
+        """This catalogue with other sources for some tables."""
+        return SourceCatalog(self.spark, self.parquet_dir, self.database, self.jdbc,
+                             {**self._tables, **{normalize(k): v for k, v in tables.items()}},
+                             self.category_collation)
+
     def table(self, name: str) -> DataFrame:
         key = normalize(name)
         df = self._resolve(key, name)
