@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import os
 import re
+import sys
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 import pyarrow as pa
@@ -17,7 +22,8 @@ import stayflow
 from stayflow.sources.sinks import materialize
 
 __all__ = ["table", "materialize", "words", "map_arrow", "group_arrow", "tokenizer_path",
-           "bounded_batches", "partitions_for", "id_text", "sent", "ship"]
+           "bounded_batches", "partitions_for", "id_text", "sent", "ship", "quoted", "free_name",
+           "released_workers"]
 
 #: White space of the word contracts: space and U+0009 to U+000D.
 WORD = re.compile(r"[^ \t-\r]+")
@@ -76,16 +82,63 @@ def ship(spark: SparkSession) -> None:
         _SHIPPED.add(context.applicationId)
 
 
+#: Whether what is planned now lets go of its workers' tables (released_workers).
+_RELEASED = False
+#: Module-level tables that a worker keeps from task to task.
+_TABLES = [("stayflow.llm.hashing", "_HASH"), ("stayflow.llm.packing", "_WORDS"),
+           ("stayflow.llm.token_counts", "_COUNTERS")]
+
+
+@contextmanager
+def released_workers():
+    """Python workers of what is planned inside empty their tables when a task ends and give
+    the memory back, for jobs whose stages follow one another in the same workers."""
+    global _RELEASED
+    before, _RELEASED = _RELEASED, True
+    try:
+        yield
+    finally:
+        _RELEASED = before
+
+
+def _let_go() -> None:
+    for module, name in _TABLES:
+        if module in sys.modules:
+            getattr(sys.modules[module], name).clear()
+    gc.collect()
+    with contextlib.suppress(OSError, AttributeError):  # glibc only
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
+def _releasing_map(fn: Callable) -> Callable:
+    def run(batches):
+        try:
+            yield from fn(batches)
+        finally:
+            _let_go()
+
+    return run
+
+
 def map_arrow(df: DataFrame, fn: Callable, schema: str) -> DataFrame:
     """``fn`` over the Arrow batches of each partition."""
     ship(df.sparkSession)
-    return df.mapInArrow(fn, schema)
+    return df.mapInArrow(_releasing_map(fn) if _RELEASED else fn, schema)
+
+
+def _releasing_group(fn: Callable) -> Callable:
+    def run(tbl: pa.Table) -> pa.Table:
+        found = fn(tbl)
+        pa.default_memory_pool().release_unused()
+        return found
+
+    return run
 
 
 def group_arrow(df: DataFrame, keys: list[str], fn: Callable, schema) -> DataFrame:
     """``fn`` over the Arrow table of each group; groups must be of bounded size."""
     ship(df.sparkSession)
-    return df.groupBy(*keys).applyInArrow(fn, schema)
+    return df.groupBy(*keys).applyInArrow(_releasing_group(fn) if _RELEASED else fn, schema)
 
 
 def partitions_for(spark: SparkSession, rows: int, rows_each: int) -> int:
@@ -103,6 +156,19 @@ def sent(rows: DataFrame) -> DataFrame:
     return F.broadcast(rows) if rows.count() <= SENT_ROWS else rows
 
 
+def quoted(name: str) -> F.Column:
+    """A column by its literal name (which may hold dots)."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` has it in any case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def id_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The two columns that most operators read; other columns are never scanned."""
     return docs.select(F.col(id_col).cast("long").alias("doc_id"),

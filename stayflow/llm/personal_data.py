@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stayflow.llm.common import materialize, sent, table
+from stayflow.llm.common import SENT_ROWS, free_name, materialize, quoted, sent, table
 
 KINDS = ("email", "ip", "card", "phone")
 TERM = "term"
@@ -130,7 +130,10 @@ def _contexts(text: Column, window: int) -> Column:
         return F.struct(
             s["kind"].alias("kind"), F.substring(text, s["start"] + 1, s["end"] - s["start"]).alias("value"),
             (s["start"] - F.length(left)).alias("left_at"), left.alias("left"),
-            s["end"].alias("right_at"), right.alias("right"))
+            s["end"].alias("right_at"), right.alias("right"),
+            # the spans that a term of this context can touch: a row never holds all of them
+            F.filter("base", lambda o: (o["end"] > s["start"] - window) & (o["start"] < s["end"] + window)
+                     ).alias("spans"))
 
     return F.transform(F.col("base"), one)
 
@@ -154,14 +157,14 @@ def telling_terms(base: DataFrame, texts: DataFrame, window: int, support: int,
     """row, terms: per document the places (start, end, remove) of the terms that tell a
     protected entity near them. ``base`` has row, base and contexts; ``texts`` has text."""
     near = (base.filter(F.size("base") > 0)
-            .select("row", "base", F.explode("contexts").alias("c"))
-            .select("row", "base", F.concat_ws(":", "c.kind", "c.value").alias("entity"),
+            .select("row", F.explode("contexts").alias("c"))
+            .select("row", F.col("c.spans").alias("spans"), F.concat_ws(":", "c.kind", "c.value").alias("entity"),
                     F.concat(_terms(F.col("c.left"), F.col("c.left_at")),
                              _terms(F.col("c.right"), F.col("c.right_at"))).alias("terms")))
     entities = near.select("row", "entity").distinct().groupBy("entity").agg(
         F.count(F.lit(1)).alias("d_e"))
     clear = F.filter("terms", lambda t: ~F.exists(
-        F.col("base"), lambda s: (t["start"] < s["end"]) & (s["start"] < t["end"])))
+        F.col("spans"), lambda s: (t["start"] < s["end"]) & (s["start"] < t["end"])))
     near = near.select("row", "entity", F.explode(clear).alias("t")).select(
         "row", "entity", "t.term", "t.start", "t.end")
     near = materialize(near, "near-terms")
@@ -182,6 +185,11 @@ def telling_terms(base: DataFrame, texts: DataFrame, window: int, support: int,
     return materialize(told, "telling-terms")
 
 
+_NO_TERMS = "array<struct<start:bigint,end:bigint,remove:boolean>>"
+#: Places of telling terms, of all rows together, up to which they are sent to every executor.
+SENT_PLACES = 4_000_000
+
+
 def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   window: int = WINDOW, support: int = SUPPORT, generalise: float = GENERALISE,
                   remove: float = REMOVE, keep: list[str] | None = None) -> DataFrame:
@@ -189,7 +197,7 @@ def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     (array of start, end, remove); with ``keep``, also those columns of ``docs`` as ``kept``."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"),
-                       *([F.struct(*keep).alias("kept")] if keep else []))
+                       *([F.struct(*map(quoted, keep)).alias("kept")] if keep else []))
     base = rows.withColumn("base", base_spans(F.col("text")))
     base = base.withColumn("contexts", _contexts(F.col("text"), window))
     base = base.withColumn("row", F.monotonically_increasing_id())
@@ -197,8 +205,40 @@ def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     terms = telling_terms(base, rows, window, support, generalise, remove)
     # few documents have such terms; while they are few, the texts need not move
     return (base.drop("contexts").join(sent(terms), "row", "left").drop("row")
-            .withColumn("terms", F.coalesce(
-                "terms", F.array().cast("array<struct<start:bigint,end:bigint,remove:boolean>>"))))
+            .withColumn("terms", F.coalesce("terms", F.array().cast(_NO_TERMS))))
+
+
+def sanitised(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+              window: int = WINDOW, support: int = SUPPORT, generalise: float = GENERALISE,
+              remove: float = REMOVE) -> DataFrame:
+    """``docs`` with the personal data in its text replaced, all other columns as they are.
+
+    The texts are written nowhere in between: base spans are found again where a text is
+    rewritten, and the few telling terms come to it by 128 bits of hash of id and text (rows
+    that agree in both have the same terms)."""
+    of_id, of_text = quoted(id_col), quoted(text_col)
+
+    def hashes() -> list[Column]:
+        return [F.xxhash64(of_id, of_text), F.xxhash64(F.lit(1), of_text, of_id)]
+
+    rows = docs.select(F.coalesce(of_text, F.lit("")).alias("text"), F.struct(*hashes()).alias("key"))
+    base = rows.withColumn("base", base_spans(F.col("text")))
+    base = base.withColumn("contexts", _contexts(F.col("text"), window)).withColumn(
+        "row", F.monotonically_increasing_id()).drop("text")
+    base = materialize(base, "base-spans")
+    terms = telling_terms(base, rows, window, support, generalise, remove)
+    names = [free_name(docs, n) for n in ("told_one", "told_two", "told_terms")]
+    told = materialize(base.select("row", "key").join(sent(terms), "row").select(
+        "key.*", "terms").toDF(*names).dropDuplicates(names[:2]), "told")
+    size = told.agg(F.count(F.lit(1)), F.sum(F.size(names[2]))).first()
+    if size[0] <= SENT_ROWS and (size[1] or 0) <= SENT_PLACES:
+        told = F.broadcast(told)
+    spans = free_name(docs, "base_spans")
+    found = docs.join(told, [h == F.col(n) for h, n in zip(hashes(), names)], "left").withColumn(
+        spans, base_spans(of_text))
+    clean = replaced(of_text, F.col(spans), F.coalesce(F.col(names[2]), F.array().cast(_NO_TERMS)))
+    return found.select(*(F.when(of_text.isNotNull(), clean).alias(c) if c.lower() == text_col.lower()
+                          else quoted(c) for c in docs.columns))
 
 
 def _of_kind(number: int):
@@ -213,28 +253,33 @@ def _written(spans: Column) -> Column:
 
 def sanitise(found: DataFrame) -> Column:
     """The text with its spans replaced (of the result of ``personal_data`` with the text)."""
+    return replaced(F.col("text"), F.col("base"), F.col("terms"))
+
+
+def replaced(text: Column, base: Column, terms: Column) -> Column:
+    """``text`` with its base spans and telling terms replaced."""
     labels = F.array(*(F.lit(LABELS[k]) for k in KINDS))
     spans = F.array_sort(F.concat(
-        F.transform("base", lambda s: F.struct(
+        F.transform(base, lambda s: F.struct(
             s["start"].alias("start"), s["end"].alias("end"),
             F.element_at(labels, s["kind"] + 1).alias("label"))),
-        F.transform("terms", lambda t: F.struct(
+        F.transform(terms, lambda t: F.struct(
             t["start"].alias("start"), t["end"].alias("end"),
             F.when(t["remove"], "").otherwise(TERM_LABEL).alias("label")))))
     # (end so far, pieces): a span that starts inside an earlier one only extends it
     start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<string>").alias("out"))
 
     def step(acc: Column, s: Column) -> Column:
-        gap = F.substring(F.col("text"), acc["at"] + 1, F.greatest(s["start"] - acc["at"], F.lit(0)))
+        gap = F.substring(text, acc["at"] + 1, F.greatest(s["start"] - acc["at"], F.lit(0)))
         out = F.when(s["start"] >= acc["at"], F.concat(acc["out"], F.array(gap, s["label"]))
                      ).otherwise(acc["out"])
         return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), out.alias("out"))
 
     def finish(acc: Column) -> Column:
         return F.concat(F.array_join(acc["out"], ""),
-                        F.substring(F.col("text"), acc["at"] + 1, F.length("text").cast("long")))
+                        F.substring(text, acc["at"] + 1, F.length(text).cast("long")))
 
-    return F.when(F.size(spans) > 0, F.aggregate(spans, start, step, finish)).otherwise(F.col("text"))
+    return F.when(F.size(spans) > 0, F.aggregate(spans, start, step, finish)).otherwise(text)
 
 
 def digest_columns(found: DataFrame) -> DataFrame:

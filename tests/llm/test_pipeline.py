@@ -21,7 +21,8 @@ def stages(spark, docs_of, sample):
     odd = [(10 ** 6, None, None), (10 ** 6 + 1, "", "en"), sample[3], sample[3], (None, sample[4][1], "en"),
            (10 ** 6 + 2, " ".join(words) + " mail me@home.example.org", None),
            (10 ** 6 + 3, sample[5][1] + " \n", sample[5][2])]
-    docs = docs_of(sample + near + odd)
+    docs = docs_of(sample + near + odd).withColumn("ROW_KEY", F.lit("own")).withColumn("a.b", F.lit(7)).withColumn(
+        "Told_Terms", F.lit("own"))
     out = [docs]
     for name, stage in pipeline.STAGES:
         out.append(materialize(stage(spark, out[-1], ""), f"test-{name}"))
@@ -39,6 +40,11 @@ def test_order_and_columns(stages):
         assert df.columns == stages[0].columns
 
 
+def test_other_columns_stay_as_they_are(stages):
+    for df in stages[:-1]:
+        assert {(r["ROW_KEY"], r["a.b"], r["Told_Terms"]) for r in df.collect()} == {("own", 7, "own")}
+
+
 def test_quality_stage_follows_the_verdicts(stages):
     from stayflow.llm.quality_rules import quality_rules
 

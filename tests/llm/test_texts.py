@@ -383,3 +383,19 @@ def test_large_losses_are_divided_among_shares():
     assert all(x.dtype == np.uint32 for x in out)
     for s, x in zip(sums, out[1:]):
         assert [int(x[out[0] == d].astype(np.int64).sum()) for d in docs] == s.tolist()
+
+
+def test_many_spans_in_one_text_and_the_sanitised_table(spark, docs_of):
+    """The rewritten table equals the rewritten spans, and thousands of spans in a text fit."""
+    many = " ".join(f"host 10.{i % 250}.{i // 250}.7 up" for i in range(5000))
+    rows = [(1, many), (2, "mail a@b.org now"), (2, "mail a@b.org now"), (3, None), (4, "")]
+    rows += [(10 + i, f"contact zaphod at z{i % 3}@x.example.org, friend") for i in range(20)]
+    docs = docs_of(rows)
+    found = personal_data.personal_data(docs, keep=docs.columns)
+    want = sorted(map(str, ((r.doc_id, r.clean) for r in found.select(
+        "doc_id", F.when(F.col("kept.text").isNotNull(), personal_data.sanitise(found)).alias("clean")).collect())))
+    table = personal_data.sanitised(docs)
+    assert table.columns == docs.columns
+    got = table.collect()
+    assert sorted(map(str, ((r.doc_id, r.text) for r in got))) == want
+    assert {r.kept for r in got} == {"clash"} and sum("10." in (r.text or "") for r in got) == 0
