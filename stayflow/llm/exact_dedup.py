@@ -12,7 +12,8 @@ independent 64-bit hash of the normalised texts all agree.
 Defined results: null text counts as empty, so null, empty and white-space-only texts are
 all equal; of equal texts the row with the most code points in its original text stays, then
 the smallest id (a null id after all others), and of repeated rows with one id exactly one
-has ``kept``. An empty table gives an empty table. Other columns are not read.
+has ``kept``. Ids may be any 64-bit numbers. Texts are hashed whole, however long, and do not
+move. An empty table gives an empty table. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -31,8 +32,10 @@ _KEY = ["sha", "second", "n_norm"]
 
 
 def _best() -> Column:
-    """Orders rows of a digest: most code points, then smallest id, then first place."""
-    return F.struct("n_orig", "neg_id", "neg_row")
+    """The least is the row that stays: most code points, then smallest id (null last), then
+    first place."""
+    return F.struct((-F.col("n_orig")).alias("shorter"), F.col("doc_id").isNull().alias("no_id"),
+                    "doc_id", "row")
 
 
 def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -51,24 +54,20 @@ def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
 def merge_runs(rows: DataFrame, fan: int = FAN) -> DataFrame:
     """Merge the runs of ``rows`` (from :func:`digests`) to one row per digest:
-    the key, ``best`` (n_orig, neg_id, neg_row) and ``n`` (rows with the digest)."""
+    the key, ``best`` (of the row that stays) and ``n`` (rows with the digest)."""
     spark = rows.sparkSession
     ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # the id enters negated so that one maximum finds the longest text, then the smallest id
-    level = rows.select(
-        *_KEY, "run",
-        F.struct("n_orig", (-F.col("doc_id")).alias("neg_id"), (-F.col("row")).alias("neg_row"))
-        .alias("best"), F.lit(1).cast("long").alias("n"))
-    level = level.groupBy("run", *_KEY).agg(F.max("best").alias("best"), F.sum("n").alias("n"))
+    level = rows.select(*_KEY, "run", _best().alias("best"), F.lit(1).cast("long").alias("n"))
+    level = level.groupBy("run", *_KEY).agg(F.min("best").alias("best"), F.sum("n").alias("n"))
     runs = (rows.agg(F.max("run").alias("m")).first()["m"] or 0) + 1
     first_of_digest = F.conv(F.hex(F.substring("sha", 1, 4)), 16, 10).cast("long")
     while True:
         level = level.select(*_KEY, "best", "n", F.floor(F.col("run") / fan).alias("run"),
-                             F.pmod(first_of_digest, F.lit(ranges)).alias("part"))
+                             F.shiftright(first_of_digest * ranges, 32).alias("part"))
         level = (level.repartition(ranges, "run", "part")
                  .sortWithinPartitions("run", "part", *_KEY)
                  .groupBy("run", "part", *_KEY)
-                 .agg(F.max("best").alias("best"), F.sum("n").alias("n")))
+                 .agg(F.min("best").alias("best"), F.sum("n").alias("n")))
         runs = -(-runs // fan)
         if runs <= 1:
             return level.select(*_KEY, "best", "n")
@@ -81,8 +80,8 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows = materialize(digests(docs, id_col, text_col), "digests")
     merged = merge_runs(rows, fan).select(*_KEY, "best", "n")
     return rows.join(merged, _KEY).select(
-        "doc_id", (-F.col("best.neg_id")).alias("keep_id"), F.col("n").alias("group_size"),
-        (F.col("row") == -F.col("best.neg_row")).alias("kept"),
+        "doc_id", F.col("best.doc_id").alias("keep_id"), F.col("n").alias("group_size"),
+        (F.col("row") == F.col("best.row")).alias("kept"),
         F.lower(F.hex("sha")).alias("text_sha256"), *["key"] * with_key)
 
 
