@@ -8,7 +8,8 @@ two unpacked pieces fit the gap left without it more tightly. A group loses at m
 bin, so the number of sequences does not depend noticeably on the number of groups.
 
 Defined results: null or empty text is the separator alone (length 1); every input row is
-packed (repeated rows too); an empty table gives an empty table; other columns are not read.
+packed (repeated rows too, spread over the groups like others); a very long text is tokenized
+whole by one task and its pieces spread; an empty table gives an empty table; other columns are not read.
 A null id is kept as null.
 """
 
@@ -24,8 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stayflow.llm.common import (bounded_batches, group_arrow, id_text, map_arrow, materialize,
-                                 table, tokenizer_path)
+from stayflow.llm.common import (bounded_batches, free_name, group_arrow, id_text, map_arrow,
+                                 materialize, table, tokenizer_path)
 from stayflow.llm.token_counts import byte_letters
 
 MODEL = "word_bpe_49k.json"
@@ -183,13 +184,14 @@ def best_two_fit(lengths: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray
 
 def pack(pieces: DataFrame, length: int = 2048, group: int = GROUP) -> DataFrame:
     """Adds sequence_id and offset to ``pieces`` (columns doc_id, piece, length, ...)."""
-    pieces = materialize(pieces, "pieces")
     names = pieces.columns
+    at = free_name(pieces, "at")
+    pieces = materialize(pieces.withColumn(at, F.monotonically_increasing_id()), "pieces")
     short = F.col("length") < length
     groups = max(1, -(-pieces.filter(short).count() // group))
     full = pieces.filter(~short).withColumns({
         # full pieces count downwards from -1, groups upwards from 0
-        "sequence_id": -1 - F.monotonically_increasing_id(), "offset": F.lit(0).cast("long")})
+        "sequence_id": -1 - F.col(at), "offset": F.lit(0).cast("long")}).drop(at)
 
     def run(tbl: pa.Table) -> pa.Table:
         bins, offsets = best_two_fit(tbl.column("length").to_numpy(), length)
@@ -197,9 +199,8 @@ def pack(pieces: DataFrame, length: int = 2048, group: int = GROUP) -> DataFrame
         return (tbl.select(names).append_column("sequence_id", pa.array(bins + base))
                 .append_column("offset", pa.array(offsets)))
 
-    # dealt by a hash of the piece, so that the same pieces always meet
-    dealt = pieces.filter(short).withColumn(
-        "part", F.pmod(F.xxhash64("doc_id", "piece", "start", "ids_crc32"), F.lit(groups)))
+    # dealt by the written row number: a retried task deals alike, and repeated rows spread
+    dealt = pieces.filter(short).withColumn("part", F.pmod(F.xxhash64(at), F.lit(groups)))
     packed = group_arrow(dealt, ["part"], run, full.schema)
     return packed.unionByName(full)
 
