@@ -10,7 +10,8 @@ nothing is shuffled.
 Defined results: null html or url counts as empty; a page without text gives a conversion
 record with an empty block; every input row gives one response, one metadata and one
 conversion record (repeated rows give the same records again); an empty table gives none.
-Other columns are not read.
+A page is read from left to right once, whatever it holds: an unclosed tag or comment is
+looked for to the page's end only once. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -32,21 +33,75 @@ RECORDS = uuid.uuid5(uuid.NAMESPACE_URL, "urn:stayflow:warc")
 #: The date of pages that come without one, so that records are the same in every run.
 DATE = "2024-01-01T00:00:00Z"
 
-_HIDDEN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|template|noscript)\b[^>]*>.*?(?:</\1\s*>|\Z)",
-                     re.S | re.I)
+_OPEN = re.compile(r"<!--|<(script|style|template|noscript)\b", re.I)
+_CLOSE = {name: re.compile(rf"</{name}\s*>", re.I) for name in ("script", "style", "template", "noscript")}
 _BREAK = re.compile(r"<(?:/?(?:p|div|h[1-6]|li|ul|ol|tr|table|article|section|nav|header|footer|main"
                     r"|aside|blockquote|pre|title|head|body|html|dl|dt|dd|form|figure)|br|hr)\b[^>]*>", re.I)
 _TAG = re.compile(r"<[!/?a-zA-Z][^>]*>")
 _BLANKS = re.compile(r"[ \t\r\f\v\xa0]+")
 _LINES = re.compile(r" ?\n[ \n]*")
-_TITLE = re.compile(r"<title\b[^>]*>(.*?)</title\s*>", re.S | re.I)
-_LINK = re.compile(r"<a\b[^>]*?\bhref\s*=", re.I)
+_TITLE, _TITLE_END = re.compile(r"<title\b", re.I), re.compile(r"</title\s*>", re.I)
+#: What matters for counting links: a tag opens, gives an address, or ends.
+_LINK = re.compile(r"(<a\b)|(\bhref\s*=)|>", re.I)
+#: Longer character numbers than any character has.
+_NUMBER = re.compile(r"&#([0-9]{20,})")
+
+
+def _cut(tags: re.Pattern, by: str, text: str) -> str:
+    """``text`` with ``tags`` replaced; none can end after the last ``>``."""
+    last = text.rfind(">") + 1
+    return tags.sub(by, text[:last]) + text[last:]
+
+
+def _visible(page: str) -> str:
+    """``page`` with a space for each comment, script, style, template and noscript element;
+    one that is not closed goes on to the end."""
+    out, done, at, last = [], 0, 0, page.rfind(">")
+    while found := _OPEN.search(page, at):
+        at = found.end()
+        if found[1] is None:
+            end = page.find("-->", at)
+            end = len(page) if end < 0 else end + 3
+        elif at <= last:
+            close = _CLOSE[found[1].casefold()].search(page, page.find(">", at) + 1)
+            end = close.end() if close else len(page)
+        else:
+            continue  # the tag itself does not end
+        out += page[done:found.start()], " "
+        done = at = end
+    out.append(page[done:])
+    return "".join(out)
+
+
+def _unescape(text: str) -> str:
+    """Character references resolved, numbers of any length among them."""
+    return html_lib.unescape(_NUMBER.sub(lambda m: "&#" + (m[1].lstrip("0")[:8] or "0"), text))
 
 
 def page_text(page: str) -> str:
     """The text of a page: no scripts, styles, comments or tags; a line per block element."""
-    text = _TAG.sub("", _BREAK.sub("\n", _HIDDEN.sub(" ", page)))
-    return _LINES.sub("\n", _BLANKS.sub(" ", html_lib.unescape(text))).strip(" \n")
+    text = _cut(_TAG, "", _cut(_BREAK, "\n", _visible(page)))
+    return _LINES.sub("\n", _BLANKS.sub(" ", _unescape(text))).strip(" \n")
+
+
+def page_title(page: str) -> str:
+    """The text of the first title element that is closed, on one line."""
+    start = _TITLE.search(page)
+    inner = page.find(">", start.end()) + 1 if start else 0
+    end = _TITLE_END.search(page, inner) if inner else None
+    return " ".join(_unescape(_cut(_TAG, "", page[inner:end.start()])).split()) if end else ""
+
+
+def count_links(page: str) -> int:
+    """Number of ``a`` tags with an ``href``."""
+    links, inside = 0, False
+    for found in _LINK.finditer(page):
+        if found[1]:
+            inside = True
+        else:
+            links += inside and bool(found[2])
+            inside = False
+    return links
 
 
 def digest(block: bytes) -> str:
@@ -116,14 +171,12 @@ def derivatives(found: DataFrame) -> DataFrame:
 def derive(page, source: str, uri: str, date: str, http: str, payload: str, sha: str) -> list[tuple]:
     """The metadata and the conversion record of one response."""
     text = page_text(payload)
-    title = _TITLE.search(payload)
-    title = " ".join(html_lib.unescape(_TAG.sub("", title[1])).split()) if title else ""
     meta_id, text_id = record_id("metadata", source), record_id("conversion", source)
     lines = [f"source-{k.strip().lower()}: {v.strip()}" for k, _, v in
              (x.partition(":") for x in http.split("\r\n")[1:] if x)]
     meta = "\r\n".join(
         [f"source-status: {http.split(chr(13))[0]}", *lines, f"source-payload-digest: {sha}",
-         f"title: {title}", f"links: {len(_LINK.findall(payload))}",
+         f"title: {page_title(payload)}", f"links: {count_links(payload)}",
          f"text-length: {len(text)}", f"conversion-record: {text_id}"]) + "\r\n"
     out = []
     for kind, own, other, content, block in (
@@ -149,7 +202,8 @@ def write_warc(records: DataFrame, path: str) -> None:
 
 
 def read_warc(spark, path: str) -> DataFrame:
-    """path, header, block of the records in WARC files; a file is read by one task."""
+    """path, header, block of the records in WARC files; a file is read whole by one task, and
+    a record without Content-Length is an error that names the file."""
     def run(batches):
         for batch in batches:
             for name, raw in zip(batch.column(0).to_pylist(), batch.column(1)):
@@ -164,7 +218,10 @@ def _records(name: str, raw) -> object:
     whole = bytes(data)
     while (end := whole.find(b"\r\n\r\n", at)) >= 0:
         head = whole[at:end + 2].decode()
-        size = int(re.search(r"(?im)^Content-Length: *(\d+)\r$", head)[1])
+        length = re.search(r"(?im)^Content-Length: *(\d+)\r$", head)
+        if length is None:
+            raise ValueError(f"{name}: a record at byte {at} has no Content-Length")
+        size = int(length[1])
         block = whole[end + 4:end + 4 + size]
         yield pa.RecordBatch.from_arrays(
             [pa.array([name]), pa.array([head]), pa.array([block])], ["path", "header", "block"])
