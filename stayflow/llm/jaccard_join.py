@@ -232,7 +232,8 @@ def _index(sim: Similarity, buckets: int):
             return
         sigs, ids = np.concatenate(sigs), np.concatenate(ids)
         edges, first = _stars(sigs, ids)
-        rows = [[-1, edges[:, 0].tobytes(), edges[:, 1].tobytes()]] if len(edges) else []
+        origin = (mix(edges[:, 0].astype(np.uint64)) % np.uint64(buckets)).astype(np.int64)
+        rows = [[-1 - b, *cols] for b, *cols in packed(origin, buckets, [edges[:, 0], edges[:, 1]])]
         sigs, ids = sigs[first], ids[first]
         bucket = (mix(sigs) % np.uint64(buckets)).astype(np.int64)
         rows += packed(bucket, buckets, [sigs, ids])
@@ -252,7 +253,7 @@ def _stars(sigs: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _meet(tbl: pa.Table) -> pa.Table:
-    """Links of a bucket of combination entries (bucket -1 has links already)."""
+    """Links of a bucket of combination entries (negative buckets hold links already)."""
     a, b = unpacked(tbl, "sigs", np.uint64), unpacked(tbl, "ids", np.int64)
     if tbl.column("bucket")[0].as_py() < 0:
         links = np.unique(np.stack([a.view(np.int64), b], axis=1), axis=0)
@@ -393,7 +394,8 @@ def jaccard_classes(docs: DataFrame, sim: Similarity = Similarity(), id_col: str
     members = clusters.join(size, "comp").withColumn(
         "part", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
     members = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    groups = max(1, partitions_for(spark, int(combos), ENTRIES))
+    entries = full.agg(F.sum("n")).first()[0] or 0  # of all candidates, heavy or not
+    groups = partitions_for(spark, int(entries), ENTRIES)
     small = F.col("blocks") == 1
     members = members.select(
         "doc_id", "comp", "part",
