@@ -4,6 +4,9 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute
 import pytest
 
 from stayflow.llm import exact_dedup, jaccard_join
@@ -134,3 +137,29 @@ def test_components(spark):
             root[a] = root[b] = min(root[a], root[b])
     found = {r.node: r.root for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert all(found.get(i, i) == r for i, r in root.items())
+
+
+def test_exact_dedup_of_extreme_ids(docs_of):
+    low, high = -2 ** 63, 2 ** 63 - 1
+    rows = exact_dedup.exact_dedup(docs_of([(high, "q"), (low, "q"), (0, "z"), (low, "z ")])).collect()
+    assert sorted((r.doc_id, r.keep_id, r.kept) for r in rows) == [
+        (low, low, True), (low, low, True), (0, low, False), (high, low, False)]
+
+
+def test_local_links_are_spread_and_none_is_lost():
+    rng = np.random.default_rng(5)
+    sim = Similarity(words=1, part=80, of=100)
+    family = [np.sort(rng.choice(np.arange(1, 10 ** 6, dtype=np.uint64), 40, replace=False)) for _ in range(60)]
+    docs = [(10 * f + c, np.sort(np.r_[tokens[c:], np.arange(c, dtype=np.uint64) + np.uint64(10 ** 7 + 100 * f)]))
+            for f, tokens in enumerate(family) for c in range(3)]
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array([d for d, _ in docs]), pa.array([len(t) for _, t in docs]),
+         pa.array([t.astype(np.uint64).tobytes() for _, t in docs])], ["doc_id", "n", "tokens"])
+    tbl = pa.Table.from_batches(list(jaccard_join._index(sim, 16)(iter([batch]))))
+    assert len({b for b in tbl.column("bucket").to_pylist() if b < 0}) > 4
+    links = set()
+    for b in set(tbl.column("bucket").to_pylist()):
+        met = jaccard_join._meet(tbl.filter(pa.compute.equal(tbl.column("bucket"), b)))
+        links |= set(zip(met.column("a").to_pylist(), met.column("b").to_pylist()))
+    assert all(a // 10 == b // 10 for a, b in links)
+    assert all(len({x for link in links if link[0] // 10 == f for x in link}) == 3 for f in range(60))

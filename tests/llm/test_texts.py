@@ -4,8 +4,10 @@ import html.parser
 import math
 import random
 import re
+import time
 from collections import Counter, defaultdict
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -399,3 +401,33 @@ def test_many_spans_in_one_text_and_the_sanitised_table(spark, docs_of):
     got = table.collect()
     assert sorted(map(str, ((r.doc_id, r.text) for r in got))) == want
     assert {r.kept for r in got} == {"clash"} and sum("10." in (r.text or "") for r in got) == 0
+
+
+def test_pages_are_read_once_from_left_to_right():
+    hidden = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|template|noscript)\b[^>]*>.*?(?:</\1\s*>|\Z)", re.S | re.I)
+    title = re.compile(r"<title\b[^>]*>(.*?)</title\s*>", re.S | re.I)
+    link = re.compile(r"<a\b[^>]*?\bhref\s*=", re.I)
+    rng = random.Random(3)
+    parts = ["<a ", "<a", " href=", "HREF =", "x", ">", "<title>", "<TITLE x", "</title >", "</title", "<!--", "-->",
+             "<script", "<script>", "</script>", "</SCRIPT ", "<style>", "</style>", " ", "<p>", "<", "-", "&#65;"]
+    for _ in range(20000):
+        page = "".join(rng.choices(parts, k=rng.randrange(12)))
+        assert warc._visible(page) == hidden.sub(" ", page), page
+        assert warc.count_links(page) == len(link.findall(page)), page
+        found = title.search(page)
+        want = " ".join(warc.html_lib.unescape(warc._TAG.sub("", found[1])).split()) if found else ""
+        assert warc.page_title(page) == want, page
+
+
+def test_hostile_pages_take_no_longer_than_others():
+    start = time.monotonic()
+    for part in ("<a ", "<a", "<title>", "<title", "<script", "<script>", "<!--", "</script ", "<p ", "<", "&#", "&"):
+        page = part * (1_000_000 // len(part))
+        warc.derive(1, "s", "u", warc.DATE, "HTTP/1.1 200 OK\r\n", page, "sha1:x")
+    assert time.monotonic() - start < 60
+    assert warc.page_text("a&#" + "0" * 5000 + "65;b") == "aAb" and warc.page_text("&#" + "9" * 5000 + ";") == "�"
+
+
+def test_a_record_without_length_is_an_error():
+    with pytest.raises(ValueError, match="f.warc.*no Content-Length"):
+        list(warc._records("f.warc", pa.py_buffer(b"WARC/1.1\r\nWARC-Type: x\r\n\r\nbody\r\n\r\n")))

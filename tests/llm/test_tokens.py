@@ -161,3 +161,14 @@ def test_repeated_rows_and_null_ids(docs_of):
     assert token_counts.token_counts(docs).count() == 3
     packed = packing.best_fit_packing(docs)
     assert packed.count() == 3 and packed.filter(F.col("doc_id").isNull()).count() == 1
+
+
+def test_repeated_rows_spread_over_packing_groups(spark):
+    pieces = spark.range(4000).select(
+        F.lit(1).cast("long").alias("doc_id"), F.lit(0).alias("piece"), F.lit(0).cast("long").alias("start"),
+        F.lit(700).cast("long").alias("length"), F.lit(9).cast("long").alias("ids_crc32"), F.lit("x").alias("AT"))
+    packed = packing.pack(pieces, group=500)
+    assert packed.columns == [*pieces.columns, "sequence_id", "offset"]
+    sizes = packed.groupBy(F.shiftright("sequence_id", 32).alias("g")).count().collect()
+    assert len(sizes) == 8 and max(r["count"] for r in sizes) < 700
+    assert packed.groupBy("sequence_id").agg(F.sum("length").alias("n")).filter("n > 2048").count() == 0
