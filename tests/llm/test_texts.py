@@ -239,32 +239,26 @@ def test_copies_do_not_close_a_band(docs_of, sample):
 
 # ---------------------------------------------------------------- LM scoring
 
-@pytest.mark.parametrize("size", [lm_scoring.VOCABULARY, 300])
-def test_cross_entropy_difference(spark, docs_of, sample, size):
+@pytest.mark.parametrize("frequent, hot", [(lm_scoring.FREQUENT, lm_scoring.HOT), (300, 20), (0, 1)])
+def test_cross_entropy_difference(spark, docs_of, sample, frequent, hot):
     rows = [(i, t) for i, t, _ in sample[:120]] + [(10 ** 6, None), (10 ** 6 + 1, "ZZ  zz")]
+    rows += [(10 ** 7 + i, f"only{i} once{i} here{i % 2}") for i in range(20)]
     targets = {i for i, _ in rows[::3]}
     labels = spark.createDataFrame([(i,) for i in targets] * 2 + [(None,)], "doc_id long")
-    found = {r.doc_id: r for r in lm_scoring.cross_entropy_difference(docs_of(rows), labels, size=size).collect()}
+    found = {r.doc_id: r for r in lm_scoring.cross_entropy_difference(
+        docs_of(rows), labels, frequent=frequent, hot=hot).collect()}
     assert len(found) == len(rows)
-    for i, n, target, back in cross_entropy(rows, targets, size):
+    for i, n, target, back in cross_entropy(rows, targets):
         assert found[i].n_tokens == n
         assert found[i].target_bits == pytest.approx(target, abs=1e-9)
         assert found[i].background_bits == pytest.approx(back, abs=1e-9)
         assert found[i].difference == pytest.approx(target - back, abs=1e-9)
 
 
-def cross_entropy(rows, targets, size):
-    import xxhash
-
+def cross_entropy(rows, targets):
     docs = [(i, (t or "").encode().lower().split()) for i, t in rows]
-    n = Counter(w for _, ws in docs for w in ws)
-
-    def rank(w):
-        h = xxhash.xxh3_64_intdigest(w)
-        return -n[w], h - (1 << 64) if h >> 63 else h
-
-    known = set(sorted(n, key=rank)[:size])
-    chains = [(i, ["<s>", *(w if w in known else "?" for w in ws), "</s>"]) for i, ws in docs]
+    different = {w for _, ws in docs for w in ws}
+    chains = [(i, ["<s>", *ws, "</s>"]) for i, ws in docs]
 
     def count(only):
         pairs, words = Counter(), Counter()
@@ -282,7 +276,7 @@ def cross_entropy(rows, targets, size):
             for (v, w), k in Counter(zip(s, s[1:])).items():
                 p = lm_scoring.A * (pairs[v, w] - k * own) / words[v] if words[v] else 0
                 p += (1 - lm_scoring.A) * ((1 - lm_scoring.B) * words[w] / max(1, all_words)
-                                           + lm_scoring.B / (len(known) + 3))
+                                           + lm_scoring.B / (len(different) + 1))
                 total += k * round(-math.log2(p) * lm_scoring.UNIT)
             bits.append(total / lm_scoring.UNIT / (len(s) - 1))
         yield i, len(s) - 1, *bits
