@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 
 from stayflow.llm.common import (SENT_ROWS, bounded_batches, group_arrow, map_arrow, materialize,
                                  partitions_for, table)
-from stayflow.llm.hashing import mix, packed, unpacked, word_hashes
+from stayflow.llm.hashing import hashes_of, mix, packed, unpacked
 
 #: Words with a number. With the marks, a pair of numbers has 32 bits.
 FREQUENT = 65_533
@@ -54,7 +54,9 @@ HASHED = np.uint64(1 << 63)
 A, B = 0.6, 0.05
 UNIT = 4_096
 #: Entries in a bucket on average; entries a task holds before it sends them on.
-ENTRIES, HELD = 2_000_000, 3_000_000
+ENTRIES, HELD = 2_000_000, 2_000_000
+#: Bytes of text whose words are in arrays at once.
+SLICE = 4 << 20
 #: Occurrences from which a bigram's counts are broadcast (and, so that there are at most
 #: 2**20 of them, at least a 2**20th of all tokens).
 HOT = 65_536
@@ -76,8 +78,9 @@ def flagged(docs: DataFrame, targets: DataFrame, id_col: str, text_col: str) ->
     return rows if few else materialize(rows, "flagged")
 
 
-def _hashes(text: str) -> np.ndarray:
-    return word_hashes(text) | HASHED
+def _hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    hashes, lengths = hashes_of(texts)
+    return hashes | HASHED, lengths
 
 
 def word_counts(rows: DataFrame) -> DataFrame:
@@ -94,15 +97,13 @@ def word_counts(rows: DataFrame) -> DataFrame:
             return pa.RecordBatch.from_arrays(
                 [pa.array(keys.view(np.int64)), *map(pa.array, n)], ["word", "n", "n_target"])
 
-        for batch in bounded_batches(batches, 1):
-            texts, target = batch.column(1).to_pylist(), batch.column(2).to_pylist()
-            parts = [_hashes(t) for t in texts]
-            good = [p for p, t in zip(parts, target) if t]
-            keys, n = np.unique(np.concatenate(parts), return_counts=True)
+        for batch in bounded_batches(batches, 1, SLICE):
+            found, length = _hashes(batch.column(1).to_pylist())
+            good = np.repeat(np.array(batch.column(2).to_pylist(), bool), length)
+            keys, n = np.unique(found, return_counts=True)
             one = np.zeros(len(keys), np.int64)
-            if good:
-                good, k = np.unique(np.concatenate(good), return_counts=True)
-                one[np.searchsorted(keys, good)] = k
+            good, k = np.unique(found[good], return_counts=True)
+            one[np.searchsorted(keys, good)] = k
             held.append((keys, n, one))
             size += len(keys)
             if size > HELD:
@@ -156,18 +157,18 @@ class Vocabulary:
         return self.losses(model, count, counts[pairs >> 16], counts[pairs & 0xFFFF])
 
 
-def _chain(hashes: list[np.ndarray], own: Vocabulary) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _chain(texts: list[str], own: Vocabulary) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Document (from 0), first and second code of every bigram of the documents."""
-    length = np.array([len(h) for h in hashes])
+    hashes, length = _hashes(texts)
     ends = np.cumsum(length + 2) - 1
     starts = ends - length - 1
     chain, word = np.empty(ends[-1] + 1, np.uint64), np.ones(ends[-1] + 1, bool)
     chain[starts], chain[ends] = START, END
     word[starts] = word[ends] = False
-    chain[word] = own.codes(np.concatenate(hashes))
+    chain[word] = own.codes(hashes)
     inside = np.ones(len(chain) - 1, bool)
     inside[ends[:-1]] = False  # from an end to the next start
-    return np.repeat(np.arange(len(hashes)), length + 1), chain[:-1][inside], chain[1:][inside]
+    return np.repeat(np.arange(len(texts)), length + 1), chain[:-1][inside], chain[1:][inside]
 
 
 def _pairs(first: np.ndarray, second: np.ndarray) -> np.ndarray:
@@ -203,8 +204,8 @@ def _known_before(vocabulary, buckets: int, hot: int):
             asked.clear()
             seen.clear()
 
-        for batch in bounded_batches(batches, 1):
-            doc, first, second = _chain([_hashes(t) for t in batch.column(1).to_pylist()], own)
+        for batch in bounded_batches(batches, 1, SLICE):
+            doc, first, second = _chain(batch.column(1).to_pylist(), own)
             target = np.array(batch.column(2).to_pylist(), bool)
             rare = (first >= HASHED) & (second >= HASHED)
             if rare.any():
@@ -314,10 +315,10 @@ def _entries(vocabulary, buckets: int):
                 x.clear()
             return _rows(rows, ENTRY, 2)
 
-        for batch in bounded_batches(batches, 1):
+        for batch in bounded_batches(batches, 1, SLICE):
             k = batch.num_rows
             target = np.array(batch.column(2).to_pylist(), bool)
-            doc, v, w = _chain([_hashes(t) for t in batch.column(1).to_pylist()], own)
+            doc, v, w = _chain(batch.column(1).to_pylist(), own)
             both = (v < HASHED) & (w < HASHED)
             key = doc[both] << 32 | _pairs(v[both], w[both]).astype(np.int64)
             key, n = np.unique(key, return_counts=True)

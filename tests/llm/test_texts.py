@@ -9,9 +9,11 @@ from collections import Counter, defaultdict
 
 import pyarrow as pa
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from stayflow.llm import chat_format, lm_scoring, personal_data, quality_rules, warc
+from stayflow.llm import chat_format, hashing, lm_scoring, personal_data, quality_rules, warc
 
 # ---------------------------------------------------------------- personal data
 
@@ -282,6 +284,23 @@ def cross_entropy(rows, targets):
         yield i, len(s) - 1, *bits
 
 
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.text(alphabet="aAbB\u00e9 \t\n\x0b\x1c\u2003\U0001f600", max_size=12), max_size=6),
+       st.integers(1, 200))
+def test_hashes_of_texts_tell_their_words(texts, size):
+    texts = [*texts, "x" * size, "X" * size + " y" + "x" * size]
+    hashes, lengths = hashing.hashes_of(texts)
+    found = [w for t in texts for w in t.encode().lower().split()]
+    assert lengths.tolist() == [len(t.encode().split()) for t in texts] and len(hashes) == len(found)
+    assert len(set(zip(found, hashes.tolist()))) == len(set(found)) == len(set(hashes.tolist()))
+
+
+def test_hashes_of_many_words():
+    found = [f"{a}{b}" for a in range(700) for b in "abcdefghijklmnopqrstuvwxyz"] + ["z" * 65 + str(i) for i in range(999)]
+    one, lengths = hashing.hashes_of([" ".join(found)] * 20)
+    assert lengths.tolist() == [len(found)] * 20 and len(set(one.tolist())) == len(set(found))
+
+
 def test_lm_scoring_without_documents_or_targets(spark, docs_of):
     docs, none = docs_of([(1, "a b"), (1, "a b"), (None, "c")]), spark.createDataFrame([], "doc_id long")
     assert lm_scoring.cross_entropy_difference(docs.limit(0), none).count() == 0
