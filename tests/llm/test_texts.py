@@ -323,6 +323,9 @@ def test_snapshots_collapse(spark):
     parts = defaultdict(list)
     for r in chat_format.chat_format(df).collect():
         parts[r.conv_id].append(r)
+    cut = defaultdict(list)  # the same conversations in smaller pieces
+    for r in chat_format.chat_format(df, most=2).collect():
+        cut[r.conv_id].append(r)
     turns = defaultdict(set)
     for c, t, role, x in rows:
         if c is not None:
@@ -332,14 +335,36 @@ def test_snapshots_collapse(spark):
         d != c and s == o[:len(s)] and (len(o) > len(s) or d < c) for d, o in chains.items())}
     assert set(parts) == want
     for c, some in parts.items():
-        text = "".join(r.rendered for r in sorted(some, key=lambda r: r.part))
+        text, small = ("".join(r.rendered for r in sorted(x, key=lambda r: r.turns_before))
+                       for x in (some, cut.pop(c)))
+        assert small == text and [r.part for r in sorted(some, key=lambda r: r.turns_before)] == sorted(
+            r.part for r in some)
         assert text == "".join(f"<|im_start|>{r}\n{x}<|im_end|>\n" for r, x in chains[c])
         assert {(r.n_turns, r.n_copies) for r in some} == {
             (len(chains[c]), sum(o == chains[c] for o in chains.values()))}
         assert sum(r.part_turns for r in some) == len(chains[c]) and max(r.part_turns for r in some) <= chat_format.BLOCK
+    assert not cut
     assert chat_format.chat_format(df.limit(0)).count() == 0
 
 
+def test_many_texts_under_one_turn_number(spark):
+    rows = [(c, t, "user", f"text {i}") for c, t in ((1, None), (2, None), (3, 7)) for i in range(9000)]
+    rows += [(2, 0, "user", "more"), (2, 0, "user", "more"), (3, 8, "user", "next")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    found = defaultdict(list)
+    for r in chat_format.chat_format(df).collect():
+        found[r.conv_id].append(r)
+    # texts under one number are ordered by hash, so 1 is a prefix of 2 and of 3
+    assert set(found) == {2, 3}
+    for c, last in ((2, "more"), (3, "next")):
+        parts = sorted(found[c], key=lambda r: r.turns_before)
+        assert [r.turns_before for r in parts] == [sum(r.part_turns for r in parts[:k]) for k in range(len(parts))]
+        assert max(r.part_turns for r in parts) < 2 * chat_format.BLOCK and parts[0].n_turns == 9001
+        lines = "".join(r.rendered for r in parts).split("<|im_end|>\n")[:-1]
+        assert lines[-1].endswith(last) and len(lines) == 9001
+        assert set(lines[:-1]) == {f"<|im_start|>user\ntext {i}" for i in range(9000)}
+
+
 def test_chat_formatting_runs_no_python(spark):
     df = spark.createDataFrame([(1, 0, "user", "a")], "conv_id long, turn long, role string, text string")
     plan = chat_format.chat_format(df)._jdf.queryExecution().toString()
