@@ -17,7 +17,8 @@ import functools
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayflow.llm.common import free_name, materialize, quoted, released_workers, sent, table
+from stayflow.llm.common import (
+    free_name, materialize, quoted, released_workers, sent, small_batches, table)
 from stayflow.llm.exact_dedup import exact_dedup
 from stayflow.llm.jaccard_join import Similarity, jaccard_classes
 from stayflow.llm.packing import best_fit_packing
@@ -29,9 +30,11 @@ NEAR = Similarity(words=5, part=80, of=100)
 
 
 def _released(stage):
-    """The stage, with Python workers that let go of their tables: the next one runs in them."""
+    """The stage, with small batches to Python workers that let go of their tables: the next
+    stage runs in the same executors."""
     @functools.wraps(stage)
     def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        small_batches(spark)
         with released_workers():
             return stage(spark, docs, sf_dir)
 

@@ -23,7 +23,7 @@ from stayflow.sources.sinks import materialize
 
 __all__ = ["table", "materialize", "words", "map_arrow", "group_arrow", "tokenizer_path",
            "bounded_batches", "partitions_for", "id_text", "sent", "ship", "quoted", "free_name",
-           "released_workers"]
+           "released_workers", "small_batches"]
 
 #: White space of the word contracts: space and U+0009 to U+000D.
 WORD = re.compile(r"[^ \t-\r]+")
@@ -101,6 +101,19 @@ def released_workers():
         _RELEASED = before
 
 
+#: Bytes of an Arrow batch in jobs whose stages follow one another in the same executors.
+BATCH_BYTES = 4 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """From here on, executors fill Arrow batches for Python workers with ``BATCH_BYTES`` at most
+    (or one row). Up to Spark's own 64 MB, a batch of texts takes as much again while it grows,
+    outside the heap, and the process keeps much of that for good."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if int(spark.conf.get(name).rstrip("b")) > BATCH_BYTES:
+        spark.conf.set(name, f"{BATCH_BYTES}b")
+
+
 def _let_go() -> None:
     for module, name in _TABLES:
         if module in sys.modules:

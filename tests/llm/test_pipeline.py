@@ -96,3 +96,18 @@ def test_empty_table(spark, stages):
     for _, stage in pipeline.STAGES:
         docs = stage(spark, docs, "")
         assert docs.count() == 0
+
+
+def test_python_workers_get_small_batches(spark):
+    from stayflow.llm.common import BATCH_BYTES, map_arrow
+
+    def sizes(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], ["n"])
+
+    docs = spark.range(0, 2000, 1, 1).withColumn("text", F.expr("repeat('word ', 2000)"))   # 20 MB
+    stage = pipeline._released(lambda spark, docs, sf_dir: map_arrow(docs, sizes, "n long"))
+    found = [r.n for r in stage(spark, docs, "").collect()]
+    assert sum(found) > 20_000_000 and max(found) < BATCH_BYTES + 100_000
